@@ -45,20 +45,20 @@ def publish_csv_overwrite(df: DataFrame, path: str) -> None:
 
 def publish_dated(df: DataFrame, path: str, run_date: date, file_format: str = "csv") -> None:
     """The run's rows in the folder of its day; the day's earlier drop is replaced."""
-    replace_partition(df.withColumn("dt", F.lit(run_date.isoformat()).cast("date")), path, "dt", file_format, True)
+    dated = df.withColumn("dt", F.lit(run_date.isoformat()).cast("date"))
+    replace_partition(dated, path, "dt", file_format=file_format, one_value=True)
 
 
 def replace_partition(
-    df: DataFrame,
-    path: str,
-    column: str = "dt",
-    file_format: str = "parquet",
-    one_value: bool = False,
+    df: DataFrame, path: str, *columns: str, file_format: str = "parquet", one_value: bool = False
 ) -> None:
-    """Replace the partitions the rows fall in and leave the others alone."""
-    rows = df if one_value else spread_by(df, column)
+    """Replace the partitions the rows fall in and leave the others alone.
+
+    ``one_value`` says that all rows go to one partition, so they need no rebalance.
+    """
+    rows = df if one_value else spread_by(df, *columns)
     writer = _writer(rows, file_format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(column).save(path)
+    writer.partitionBy(*columns).save(path)
 
 
 def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:

@@ -21,7 +21,7 @@ NULL_WORDS = (
 ENCODINGS = {"latin1": "ISO-8859-1", "latin-1": "ISO-8859-1", "utf8": "UTF-8", "utf-8-sig": "UTF-8"}
 
 
-def _words_to_null(df: DataFrame, words: Sequence[str]) -> DataFrame:
+def words_to_null(df: DataFrame, words: Sequence[str]) -> DataFrame:
     if not words:
         return df
     return df.select([F.when(~F.col(f"`{c}`").isin(*words), F.col(f"`{c}`")).alias(c) for c in df.columns])
@@ -71,7 +71,7 @@ def scan_delimited(
         df = reader.csv(path)
     else:
         df = _below_header(reader, path, header, columns)
-    df = _words_to_null(use_columns(df, usecols), null_words)
+    df = words_to_null(use_columns(df, usecols), null_words)
     return df.withColumns({c: decimal_number(F.col(f"`{c}`"), decimal) for c in decimal_columns})
 
 
