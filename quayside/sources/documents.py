@@ -38,25 +38,23 @@ def scan_json_lines(
     return reader.json(path)
 
 
-def _without_broken_files(df: DataFrame) -> DataFrame:
-    """All rows of the files in which every line could be read."""
-    broken = df.filter(F.col(_BROKEN).isNotNull()).select("source_file").distinct()
-    return df.join(broken, "source_file", "left_anti").drop(_BROKEN)
-
-
 def _json_part(spark: SparkSession, path: str) -> DataFrame | None:
-    options = {"pathGlobFilter": JSON_FILES, "primitivesAsString": True, "columnNameOfCorruptRecord": _BROKEN}
+    """JSON-lines files as text columns, without the files that hold a line which is no record."""
+    options = {"primitivesAsString": "true", "columnNameOfCorruptRecord": _BROKEN}
     try:
-        found = spark.read.options(**options).json(path).schema
-    except AnalysisException:
+        found = spark.read.options(pathGlobFilter=JSON_FILES, **options).json(path).schema
+    except AnalysisException:  # no such file
         return None
-    if not [f for f in found if f.name != _BROKEN]:
+    fields = [f for f in found if f.name != _BROKEN]
+    if not fields:
         return None
-    if _BROKEN not in found.names:
-        found = found.add(_BROKEN, T.StringType())
-    rows = spark.read.options(**options).schema(found).json(path)
-    placed = rows.withColumn("source_file", F.col("_metadata.file_path"))
-    return all_string(_without_broken_files(placed))
+    lines = spark.read.option("pathGlobFilter", JSON_FILES).text(path).filter(F.trim("value") != "")
+    schema = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    record = F.from_json("value", schema, options)
+    rows = lines.select(record.alias("_record"), F.col("_metadata.file_path").alias("source_file"))
+    broken = rows.filter(F.col("_record")[_BROKEN].isNotNull()).select("source_file").distinct()
+    whole = rows.join(broken, "source_file", "left_anti")
+    return all_string(whole.select("_record.*", "source_file").drop(_BROKEN))
 
 
 def _text_parts(spark: SparkSession, path: str) -> list[DataFrame]:
@@ -74,8 +72,8 @@ def scan_mixed_folder(spark: SparkSession, path: str) -> DataFrame:
     """A folder of JSON-lines and comma-separated files as one all-text table with ``source_file``.
 
     The extension picks the reader; other files, empty files and JSON files with an unreadable line
-    are passed over. Files of different columns are put together by name. At 100 TB the two
-    look-ahead passes matter (JSON schema, first lines): they read, but neither shuffles rows.
+    are passed over. Files of different columns are put together by name. The passes that look ahead
+    (JSON schema, unreadable lines, first lines) read the data once more each but shuffle none of it.
     """
     parts = [p for p in [_json_part(spark, path), *_text_parts(spark, path)] if p is not None]
     if not parts:
