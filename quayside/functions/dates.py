@@ -36,7 +36,8 @@ def parse_iso(c: Column) -> Column:
 def iso_day(c: Column) -> Column:
     """The calendar day written in an ISO timestamp, in its own zone; null when it does not parse."""
     text = trim_all(c.cast("string"))
-    return F.when(parse_iso(text).isNotNull(), F.left(text, F.lit(10)).try_cast("date"))
+    clock = F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ISO), clock.cast("date"))
 
 
 def coerce_datetime(c: Column) -> Column:

@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Sequence
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _KEPT = set(string.ascii_letters + string.digits + "_ ")
@@ -33,9 +33,13 @@ def _accent_table() -> tuple[str, str]:
     return "".join(accented), "".join(plain)
 
 
+# Every character that counts as white space, line and no-break kinds included.
+_WHITE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+
+
 def trim_all(c: Column) -> Column:
-    """Strip every kind of white space, where ``trim`` strips spaces only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Strip every kind of white space, where ``trim`` by itself strips spaces only."""
+    return F.trim(c, F.lit(_WHITE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -76,27 +80,34 @@ def title_case(c: Column) -> Column:
     return F.replace(F.initcap(split_digits), F.lit("\u0001 "), F.lit(""))
 
 
-def entity_name(
+def with_entity_name(
+    df: DataFrame,
+    name: str,
     *candidates: Column,
     brand_rules: Sequence[tuple[Sequence[str], str]] = BRAND_RULES,
     strict_reference: bool = False,
-) -> Column:
-    """One comparable name from the first candidate that is not blank.
+) -> DataFrame:
+    """Add one comparable name, taken from the first candidate that is not blank.
 
     Lower case, brand rules, ``www.`` off, the part before the first dot, letters, digits and blanks
-    only, title case. Nothing left gives null.
+    only, title case. Nothing left gives null. Each step is a projection of its own, so a value that
+    the next step uses several times is worked out once.
     """
-    first = F.coalesce(*[blank_to_null(c) for c in candidates])
-    s = F.lower(trim_all(fix_mojibake(first, strict_reference)))
+    s, letters = F.col("_s"), F.col("_letters")
     host = F.substring_index(F.regexp_replace(s, r"^www\.", ""), ".", 1)
-    letters = trim_all(F.regexp_replace(host, r"(?U)[^a-zA-Z0-9\s]", ""))
-    name = F.when(letters != "", title_case(letters))
+    result = F.when(letters != "", title_case(letters))
     for words, brand in reversed(list(brand_rules)):
         found = F.lit(True)
         for word in words:
             found = found & s.contains(word)
-        name = F.when(found, F.lit(brand)).otherwise(name)
-    return F.when(first.isNotNull(), name)
+        result = F.when(found, F.lit(brand)).otherwise(result)
+    return (
+        df.withColumn("_s", trim_all(F.coalesce(*[blank_to_null(c) for c in candidates])))
+        .withColumn("_s", F.lower(trim_all(fix_mojibake(s, strict_reference))))
+        .withColumn("_letters", trim_all(F.regexp_replace(host, r"(?U)[^a-zA-Z0-9\s]", "")))
+        .withColumn(name, result)
+        .drop("_s", "_letters")
+    )
 
 
 def url_host(c: Column) -> Column:

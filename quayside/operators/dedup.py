@@ -55,23 +55,22 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     spark = df.sparkSession
     path = scratch_path(spark, "positions")
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(slices, *order).sortWithinPartitions(*order).write.parquet(path)
-    # the part number and the file number inside a part give the files their order
+    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    sliced.write.option("maxRecordsPerFile", 0).parquet(path)
     part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
-    piece = F.regexp_extract("_metadata.file_name", r"c(\d+)[.]", 1).cast("int")
     rows = spark.read.schema(df.schema).parquet(path).withColumns(
-        {"_part": part, "_piece": piece, "_index": F.col("_metadata.row_index")}
+        {"_part": part, "_index": F.col("_metadata.row_index")}
     )
-    # one row per file, a number fixed by the partition count: the only data in a single task
-    before = Window.orderBy("_part", "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy("_part", "_piece").agg(F.count(F.lit(1)).alias("_rows"))
-    starts = sizes.select(
-        "_part", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
-    numbered = rows.join(starts, ["_part", "_piece"])
+    # one file per slice, so there are at most ``slices`` rows here: one task, then a broadcast
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    numbered = rows.join(F.broadcast(starts), "_part")
     return numbered.select(*df.columns, (F.col("_start") + F.col("_index") + 1).alias(name))
 
 
-def positional_concat(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]) -> DataFrame:
+def positional_concat(
+    left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]
+) -> DataFrame:
     """Put two tables side by side by row number; the shorter one is padded with nulls."""
     return with_position(left, left_order).join(with_position(right, right_order), "position", "full")

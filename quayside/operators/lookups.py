@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from quayside.operators.sets import union_drifting
 
 
+def small_or_plain(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A side of a join, broadcast when it is seen to be small, as it is when not.
+
+    Spark sizes a filtered or aggregated side by the data it came from and would shuffle both sides.
+    At most ``most`` rows and one more are looked at; they stand in for the side when that is all.
+    """
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def facts_for_keys(facts: DataFrame, keys: DataFrame, key: str, capped: bool = True) -> DataFrame:
     """Facts of the given keys only.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside import storage
 from quayside.functions.dates import as_day
 
+# Fixed value: rows per file of the bounded writer. The other sinks let the data size decide (0).
 MAX_RECORDS = 200_000
 CSV_OPTIONS = {
     "header": True,
@@ -22,7 +23,7 @@ CSV_OPTIONS = {
 }
 
 
-def _writer(df: DataFrame, file_format: str, max_records: int = MAX_RECORDS):
+def _writer(df: DataFrame, file_format: str, max_records: int = 0):
     if file_format not in ("csv", "parquet"):
         raise ValueError(f"unsupported format: {file_format}")
     writer = df.write.format(file_format).option("maxRecordsPerFile", max_records)
@@ -63,12 +64,10 @@ def replace_partition(
 
 def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
     """Snappy parquet in files of at most ``max_records`` rows, nested columns kept."""
-    if max_records <= 0:
-        max_records = 0  # Spark's "no bound"
-    _writer(df, "parquet", max_records).mode("overwrite").save(path)
+    _writer(df, "parquet", max(max_records, 0)).mode("overwrite").save(path)
 
 
-def append_run(df: DataFrame, path: str, run_date: date, max_records: int = MAX_RECORDS) -> None:
+def append_run(df: DataFrame, path: str, run_date: date, max_records: int = 0) -> None:
     """Add one run below ``dt=…/id_execucao=…``.
 
     Only this run's own folder is replaced, so a retried run does not add its rows twice.

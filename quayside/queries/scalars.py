@@ -58,7 +58,7 @@ def normalize_entity(spark, sf_dir):
     domain = F.when(F.col("page_id") % 2 == 0, seller)
     host = F.when(k != 5, text.url_host(F.col("url")))
     rules = [*text.BRAND_RULES, (("spam",), "Spam")]
-    return pages.select("page_id", text.entity_name(domain, host, brand_rules=rules).alias("entity"))
+    return text.with_entity_name(pages, "entity", domain, host, brand_rules=rules).select("page_id", "entity")
 
 
 @query(

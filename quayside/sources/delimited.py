@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.coerce import to_number
+from quayside.operators.lookups import small_or_plain
 from quayside.sources.columns import use_columns
 
 # Words that stand for a missing value in a delimited file.
@@ -88,10 +89,8 @@ def _below_header(reader, path, header: int, columns: Sequence[str] | None) -> D
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    first = (
-        placed.filter("_split = 0").groupBy("_file").agg(F.min("_id").alias("_first"))
-    )
-    below = placed.join(first, "_file").withColumn("_at", F.col("_id") - F.col("_first"))
+    first = placed.filter("_split = 0").groupBy("_file").agg(F.min("_id").alias("_first"))
+    below = placed.join(small_or_plain(first), "_file").withColumn("_at", F.col("_id") - F.col("_first"))
     if columns is None:
         names = below.filter((F.col("_split") == 0) & (F.col("_at") == header)).limit(1).first()
         if names is None:

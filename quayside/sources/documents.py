@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.audit import all_string
+from quayside.operators.lookups import small_or_plain
 from quayside.operators.sets import union_drifting
 from quayside.sources.delimited import csv_layouts, scan_delimited
 
@@ -53,7 +54,7 @@ def _json_part(spark: SparkSession, path: str) -> DataFrame | None:
     record = F.from_json("value", schema, options)
     rows = lines.select(record.alias("_record"), F.col("_metadata.file_path").alias("source_file"))
     broken = rows.filter(F.col("_record")[_BROKEN].isNotNull()).select("source_file").distinct()
-    whole = rows.join(broken, "source_file", "left_anti")
+    whole = rows.join(small_or_plain(broken), "source_file", "left_anti")
     return all_string(whole.select("_record.*", "source_file").drop(_BROKEN))
 
 

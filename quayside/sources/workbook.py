@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.lookups import small_or_plain
 from quayside.sources.columns import use_columns
 from quayside.sources.delimited import decimal_number
 
@@ -230,7 +231,8 @@ def sheet_table(
     if len(layouts) == 1:
         value = {n: F.get("cells", F.lit(i)) for i, n in enumerate(names)}
     else:
-        rows = rows.join(heads.select("file", F.col("cells").alias("_head")), "file")
+        head = heads.select("file", F.col("cells").alias("_head"))
+        rows = rows.join(small_or_plain(head), "file")
         value = {}
         for n in names:
             at = F.lit(None).cast("int")
@@ -240,7 +242,8 @@ def sheet_table(
                     same = F.col("_head").eqNullSafe(_array(cells))
                     at = F.when(same, F.lit(unique.index(n))).otherwise(at)
             value[n] = F.get("cells", at)
-    table = rows.select(F.col("file").alias("_file"), F.col("row").alias("_row"), *[c.alias(n) for n, c in value.items()])
+    place = [F.col("file").alias("_file"), F.col("row").alias("_row")]
+    table = rows.select(*place, *[c.alias(n) for n, c in value.items()])
     wanted = use_columns(table.drop("_file", "_row"), usecols).columns
     table = table.select("_file", "_row", *[F.col(f"`{c}`") for c in wanted])
     return table.withColumns({c: decimal_number(F.col(f"`{c}`"), decimal) for c in decimal_columns})
