@@ -22,7 +22,8 @@ def to_integer(c: Column) -> Column:
     """Text to bigint. ``1e3`` and ``7.0`` are whole numbers, ``3.5`` is not; long ones stay exact."""
     text = c.cast("string")
     number = to_number(text)
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
+    # the cast would take 2**63 itself, one too many, as the largest bigint
+    whole = F.when((number == F.floor(number)) & (number < 2.0**63), number.try_cast("bigint"))
     return F.coalesce(text.try_cast("bigint"), whole)
 
 

@@ -75,9 +75,9 @@ def fix_mojibake(c: Column, strict_reference: bool = False) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Upper case after every non-letter. ``initcap`` alone leaves a letter after a digit small."""
-    split_digits = F.regexp_replace(c, "(?<=[0-9])(?=[A-Za-z])", "\u0001 ")
-    return F.replace(F.initcap(split_digits), F.lit("\u0001 "), F.lit(""))
+    """Upper case after every character that is no letter; ``initcap`` alone does so after blanks."""
+    split = F.regexp_replace(c, r"(?<=[^\p{L}\p{M} ])(?=\p{L})", "\u0001 ")
+    return F.replace(F.initcap(split), F.lit("\u0001 "), F.lit(""))
 
 
 def with_entity_name(

@@ -115,7 +115,8 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
             f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
         )
         for i, rows in enumerate(sheets.values(), 1):
-            data = f'<worksheet xmlns="{main}"><sheetData>{_sheet_xml(rows)}</sheetData></worksheet>'
+            used = f"A1:{chr(64 + max(map(len, rows)))}{len(rows)}"
+            data = f'<worksheet xmlns="{main}"><dimension ref="{used}"/><sheetData>{_sheet_xml(rows)}</sheetData></worksheet>'
             book.writestr(f"xl/worksheets/sheet{i}.xml", data)
     return out.getvalue()
 

@@ -136,8 +136,10 @@ def read_sheets(
                 continue
             target = targets[sheet.get(_REL)].lstrip("/")
             with book.open(target if target.startswith("xl/") else f"xl/{target}") as part:
-                at = -1
+                at, width = -1, 0
                 for _, element in ElementTree.iterparse(part):
+                    if _tag(element) == "dimension":  # the used range, written before the rows
+                        width = _column(element.get("ref").rpartition(":")[2]) + 1
                     if _tag(element) != "row":
                         continue
                     at = int(element.get("r", at + 2)) - 1
@@ -146,6 +148,7 @@ def read_sheets(
                         column = _column(cell.get("r")) if cell.get("r") else len(cells)
                         cells += [None] * (column - len(cells))
                         cells.append(_cell(cell, shared, dates, epoch))
+                    cells += [None] * (width - len(cells))
                     element.clear()
                     if last_row is not None and at > last_row:
                         break
