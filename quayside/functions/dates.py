@@ -12,12 +12,12 @@ from quayside.functions.text import trim_all
 
 # Shape of the accepted text, and of a text that names its offset from UTC.
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-_ZONED = r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})$"
+_ZONED = r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})\s*$"
 
 
 def utc_clock(text: Column) -> Column:
     """Text to UTC wall clock: an offset at the end is applied, text without one is taken as it is."""
-    clock = F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz")
+    clock = F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})\s*$", "").try_cast("timestamp_ntz")
     zone = F.regexp_replace(F.regexp_extract(text, _ZONED, 2), ":", "")
     minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")
     offset = F.when(zone == "Z", 0).when(zone.startswith("-"), -minutes).otherwise(minutes)
@@ -42,7 +42,7 @@ def iso_day(c: Column) -> Column:
 
 def coerce_datetime(c: Column) -> Column:
     """UTC datetime of a value of any type; what does not parse becomes null."""
-    return utc_clock(trim_all(c.cast("string")))
+    return utc_clock(c.cast("string"))
 
 
 def strict_day(c: Column) -> Column:

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "quayside", memory: str = "
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # a method over 8000 bytes is never compiled by the JVM; a wide typed select list gets there
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 

@@ -105,15 +105,13 @@ def page_items(pages: DataFrame, item_schema: str, body: str = "body", keep: Seq
 def page_gaps(pages: DataFrame, page: str = "page", body: str = "body") -> DataFrame:
     """Numbers of the pages that should be there and are not.
 
-    The first page's total and limit say how many there should be; the numbers come from a
-    distributed range, as there may be very many.
+    The first page's total and limit say how many there should be; without them none is expected.
+    The numbers come from a distributed range, as there may be very many.
     """
-    head = F.from_json(F.col(body), PAGE_HEAD)
-    found = pages.select(F.col(page).cast("bigint").alias("page"), head.alias("head")).filter(
-        F.col("head.data.total").isNotNull()
-    )
-    first = found.agg(F.min_by("head", "page").alias("head")).select("head.data.total", "head.data.limit").first()
-    if not first["limit"]:
-        return found.select("page").limit(0)
-    expected = pages.sparkSession.range(1, -(-first["total"] // first["limit"]) + 1).toDF("page")
-    return expected.join(found.select("page"), "page", "left_anti")
+    landed = pages.filter(F.col(body).isNotNull())
+    head = F.from_json(F.col(body), PAGE_HEAD)["data"]
+    first = landed.orderBy(page).limit(1).select(head["total"].alias("total"), head["limit"].alias("limit")).first()
+    last = -(-first["total"] // first["limit"]) if first and first["total"] and first["limit"] else 0
+    expected = pages.sparkSession.range(1, last + 1).toDF("page")
+    found = landed.filter(F.get_json_object(body, "$.data.scan").isNotNull())
+    return expected.join(found.select(F.col(page).cast("bigint").alias("page")), "page", "left_anti")

@@ -120,6 +120,8 @@ def test_iso_text(spark):
 
 
 def test_integers(spark):
+    odd = ["12345678901234567.0", "1.5e1", "15e-1", ".0", "-7.", "+3", "1,0", "e", "inf", "1e400"]
+    assert apply(spark, coerce.to_integer, odd) == [12345678901234567, 15, None, 0, -7, 3, None, None, None, None]
     values = ["1e3", "3.5", "12345678901234567", "z", "7.0", " 8 ", "", None, "9223372036854775808", "1d", "0x10", "nan"]
     assert apply(spark, coerce.to_integer, values) == [
         1000, None, 12345678901234567, None, 7, 8, None, None, None, None, None, None,
@@ -127,6 +129,7 @@ def test_integers(spark):
 
 
 def test_numbers_and_booleans(spark):
+    assert apply(spark, coerce.to_number, [".5", "5.", "-1E+2", " 7 ", "inf", "1 2"]) == [0.5, 5.0, -100.0, 7.0, float("inf"), None]
     assert apply(spark, coerce.to_number, ["1.5", "2f", "NaN", "1e-2", "x", None]) == [1.5, None, None, 0.01, None, None]
     assert apply(spark, coerce.to_boolean, ["TRUE", "false", "yes", "1", "t", None]) == [True, False, None, None, None, None]
 
