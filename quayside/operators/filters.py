@@ -96,8 +96,8 @@ def eligible_cycles(
         & (F.col(key).cast("string") != "")
         & (iso_day(F.col(end_field)) >= F.lit(oldest))
     )
-    keys = recent.select(F.col(key).cast("string").alias(key), order)
-    return ordered_distinct(keys, [key], order, cap)
+    keys = recent.select(F.col(key).cast("string").alias(key), F.col(order).alias("_order"))
+    return ordered_distinct(keys, [key], "_order", cap)
 
 
 def lookback_window(

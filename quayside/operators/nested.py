@@ -17,6 +17,14 @@ PROGRAM_COLUMNS = (
     "ValorBase", "ValorMaximo", "Desconto", "PorcentagemDesconto", "maximumPrice", "PMC",
 )
 
+# A page's items as they are landed; the sellers stay the JSON text they come as.
+OFFER_PAGE_SCHEMA = """
+    sku: string, reference_code: string, last_scan: struct<data: array<struct<
+        domain: string, date_occurrence: string, availability: string, price: double, offer_price: double,
+        sold_by: string, sellers: string, pack_price: double, pack_info: string, fator: double,
+        factor_price: double, factor_offer_price: double, from_price: double>>>
+"""
+
 PROGRAM_SCHEMA = """
     _id string, sku string, code string, pbm string, displayName string,
     pbms array<struct<pbm: string, displayName: string, data: struct<
@@ -77,6 +85,8 @@ def flatten_offers(products: DataFrame, collected_at: datetime) -> DataFrame:
     for field, name in OFFER_FIELDS.items():
         if field not in offer_fields:
             value = F.lit("[]") if field == "sellers" else F.lit(None).cast("string")
+        elif field == "sellers" and dict(rows.select("offer.*").dtypes)["sellers"] == "string":
+            value = F.coalesce("offer.sellers", F.lit("[]"))
         elif field == "sellers":
             value = json_array_text(F.col("offer.sellers"))
         else:

@@ -4,6 +4,7 @@ from quayside.queries import (  # noqa: F401  (importing registers the queries)
     casting,
     filters,
     joins,
+    landings,
     nested,
     projections,
     runs,
