@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.text import trim_all
 
@@ -57,11 +58,29 @@ def lenient_day(c: Column, run_date: date) -> Column:
     return F.coalesce(F.when(ok, F.try_to_date(text, "yyyy-M-d")), F.lit(run_date.isoformat()).cast("date"))
 
 
-def iso_text(c: Column) -> Column:
-    """ISO text of a timestamp; a fraction only where there is one."""
-    seconds = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(c, "SSSSSS")
-    return F.when(micros == "000000", seconds).otherwise(F.concat(seconds, F.lit("."), micros))
+def utc_instant(text: Column) -> Column:
+    """Text as Spark reads an instant: where it names no offset, UTC is added to it.
+
+    Text without a date is left out, as Spark would put today's date before a bare time.
+    """
+    bare = F.rtrim(text)
+    with_zone = F.when(F.length(bare) <= 10, F.concat(bare, F.lit(" 00:00:00Z"))).otherwise(F.concat(bare, F.lit("Z")))
+    dated = F.when(text.rlike(_ZONED), text).otherwise(with_zone)
+    return F.when(text.rlike(r"^\s*\d{4}-"), dated)
+
+
+def iso_text(c: Column, dtype: T.DataType | None = None) -> Column:
+    """ISO text of a timestamp, in UTC; a fraction, of six digits, only where there is one.
+
+    Through the value's own text and not ``date_format``, which would read a wall clock in the
+    session's zone and move the hours that zone skips.
+    """
+    if isinstance(dtype, T.TimestampType):
+        c = F.timestamp_add("MICROSECOND", F.unix_micros(c), ntz(datetime(1970, 1, 1)))
+    text = c.cast("string")
+    seconds = F.replace(F.left(text, F.lit(19)), F.lit(" "), F.lit("T"))
+    fraction = F.substring(text, 21, 6)
+    return F.when(fraction == "", seconds).otherwise(F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0")))
 
 
 def as_day(value: date | datetime | str | None) -> datetime | None:
@@ -80,6 +99,16 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def bound(value: datetime, dtype: T.DataType) -> Column:
+    """A literal of a column's own type, so that a comparison with it reaches the scan. UTC for instants."""
+    midnight = value.time() == datetime.min.time()
+    if isinstance(dtype, T.TimestampType):
+        return F.lit(f"{value.replace(tzinfo=None).isoformat(sep=' ')}Z").cast("timestamp")
+    if isinstance(dtype, T.DateType) and midnight:
+        return F.lit(value.date().isoformat()).cast("date")
+    return ntz(value)
+
+
 def resolve_run_date(explicit: str | None, today: date, days_back: int = 0) -> date:
     """The explicit ``yyyy-MM-dd``, or ``days_back`` days before today; a bad one falls back too."""
     text = (explicit or "").strip()

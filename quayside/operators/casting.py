@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.coerce import COERCIONS, to_boolean, to_integer, to_number
+from quayside.functions.dates import utc_instant
 
 # Source column types and the warehouse types they are loaded as.
 SQLSERVER_TYPES = {
@@ -141,6 +142,8 @@ def _typed(c: Column, source: T.DataType, warehouse_type: str, strict: bool) ->
             return known
         wrong = F.raise_error(F.concat(F.lit("not a boolean: "), c)).cast("boolean")
         return F.when(c.isNull() | known.isNotNull(), known).otherwise(wrong)
+    if spark_type == "timestamp" and isinstance(source, T.StringType):
+        c = F.coalesce(utc_instant(c), c) if strict else utc_instant(c)
     return c.cast(spark_type) if strict else c.try_cast(spark_type)
 
 

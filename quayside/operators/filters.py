@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.dates import as_day, coerce_datetime, iso_day, ntz
+from quayside.functions.dates import as_day, bound, coerce_datetime, iso_day
 from quayside.operators.dedup import ordered_distinct
 
 # Fixed value: where an extract starts when its target holds nothing yet.
@@ -30,13 +30,14 @@ def incremental_window(
     """
     if not field:
         return df
-    is_time = isinstance(df.schema[field].dataType, (T.TimestampNTZType, T.TimestampType, T.DateType))
+    dtype = df.schema[field].dataType
+    is_time = isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType))
     value = F.col(f"`{field}`") if is_time else coerce_datetime(F.col(f"`{field}`"))
     kept = df
     if start is not None:
-        kept = kept.filter(value >= ntz(as_day(start)))
+        kept = kept.filter(value >= bound(as_day(start), dtype))
     if end is not None:
-        kept = kept.filter(value < ntz(as_day(end)))
+        kept = kept.filter(value < bound(as_day(end), dtype))
     if deleted:
         kept = kept.filter(~F.col(f"`{deleted}`"))
     return kept
@@ -106,4 +107,5 @@ def lookback_window(
     """Rows updated in the period that starts ``offset_days`` before the run, at midnight."""
     since = datetime(run_date.year, run_date.month, run_date.day) - timedelta(days=offset_days)
     until = since + timedelta(days=period_days)
-    return df.filter((F.col(field) >= ntz(since)) & (F.col(field) < ntz(until)))
+    dtype = df.schema[field].dataType
+    return df.filter((F.col(field) >= bound(since, dtype)) & (F.col(field) < bound(until, dtype)))

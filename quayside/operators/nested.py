@@ -117,7 +117,7 @@ def _scalar(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return iso_text(c)
+        return iso_text(c, dtype)
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     return c

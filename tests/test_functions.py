@@ -5,8 +5,10 @@ from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions import coerce, dates, text
+from quayside.operators import filters
 
 
 def apply(spark, fn, values, dtype="string"):
@@ -96,6 +98,21 @@ def test_dates_do_not_depend_on_the_session_zone(spark):
         assert apply(spark, dates.parse_iso, ["2020-01-01T01:00:00Z"]) == [datetime(2020, 1, 1, 1)]
         assert apply(spark, dates.iso_day, ["2020-01-01T01:00:00Z"]) == [date(2020, 1, 1)]
         assert spark.range(1).select(dates.ntz(datetime(2020, 1, 1, 5))).first()[0] == datetime(2020, 1, 1, 5)
+        # the clocks of that zone skipped this hour in 2018
+        skipped = apply(spark, dates.iso_text, [datetime(2018, 11, 4, 0, 30)], "timestamp_ntz")
+        assert skipped == ["2018-11-04T00:30:00"]
+        instants = ["2020-01-01", "2020-01-01 10:00:00.5", "2020-01-01T10:00:00-03:00", "bad", "", "12:30"]
+
+        def text_of(c):
+            return dates.iso_text(dates.utc_instant(c).try_cast("timestamp"), T.TimestampType())
+
+        assert apply(spark, text_of, instants) == [
+            "2020-01-01T00:00:00", "2020-01-01T10:00:00.500000", "2020-01-01T13:00:00", None, None, None,
+        ]
+        stamps = spark.sql("select timestamp'2020-01-01 03:00:00Z' as t, date'2020-01-01' as d")
+        assert filters.incremental_window(stamps, "t", "2020-01-01", deleted=None).count() == 1
+        assert filters.incremental_window(stamps, "d", "2020-01-01", "2020-01-02", deleted=None).count() == 1
+        assert filters.lookback_window(stamps, "t", date(2020, 1, 3)).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
 
