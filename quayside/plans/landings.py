@@ -17,7 +17,7 @@ from quayside.operators.configs import Names, active_config
 from quayside.operators.filters import eligible_cycles, lookback_window, start_of_extract
 from quayside.operators.lookups import facts_for_keys
 from quayside.operators.nested import OFFER_PAGE_SCHEMA, flatten_offers, flatten_programs, normalize_scalars, raw_fallback
-from quayside.plans.publish import append_run, publish_csv_overwrite, publish_dated, replace_partition
+from quayside.plans.publish import MAX_RECORDS, append_run, publish_csv_overwrite, publish_dated
 from quayside.plans.runs import REPORT_SCHEMA, _run_all, _settings, counted
 from quayside.sources.documents import page_items, scan_envelope, scan_mixed_folder
 from quayside.sources.tables import scan_collection, scan_free_query
@@ -52,7 +52,7 @@ def land_collection(rows: DataFrame, path: str, run_ts: datetime, max_records: i
         moment = iso_text(coerce_datetime(F.col("deletedAt")))
         safe = safe.withColumn("deletedAt", F.concat(moment, F.lit("+00:00")))
     landed = landing_schema(normalize_scalars(safe), run_ts)
-    return counted(landed, lambda df: append_run(df, path, run_ts.date(), max_records))
+    return counted(landed, lambda df: append_run(df, path, run_ts.date(), run_id_of(run_ts), max_records))
 
 
 def run_collections(
@@ -88,8 +88,7 @@ def land_drop(spark: SparkSession, prefix: str, run_date: date, target: str, run
     except ValueError:
         return 0
     landed = landing_schema(rows.drop("source_file"), run_ts)
-    landed = landed.withColumn("dt", F.lit(run_date.isoformat()).cast("date"))
-    return counted(landed, lambda df: replace_partition(df, target, "dt", one_value=True))
+    return counted(landed, lambda df: publish_dated(df, target, run_date, "parquet"))
 
 
 def land_products(products: DataFrame, path: str, run_ts: datetime) -> int:
@@ -112,8 +111,9 @@ def land_offers(
 def land_records(records: DataFrame, path: str, run_ts: datetime, run_id: str | None = None) -> int:
     """Records with their nesting, the audit pair as text, below the run's own folder."""
     stamp = run_ts.strftime("%Y-%m-%dT%H:%M:%SZ")
-    audit = {"dt_ingestao": F.lit(stamp), "id_execucao": F.lit(run_id or run_id_of(run_ts))}
-    return counted(records.withColumns(audit), lambda df: append_run(df, path, run_ts.date(), 200_000))
+    rows = records.withColumn("dt_ingestao", F.lit(stamp))
+    run_id = run_id or run_id_of(run_ts)
+    return counted(rows, lambda df: append_run(df, path, run_ts.date(), run_id, MAX_RECORDS))
 
 
 def land_survey(

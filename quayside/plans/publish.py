@@ -45,21 +45,17 @@ def publish_csv_overwrite(df: DataFrame, path: str) -> None:
 
 
 def publish_dated(df: DataFrame, path: str, run_date: date, file_format: str = "csv") -> None:
-    """The run's rows in the folder of its day; the day's earlier drop is replaced."""
-    dated = df.withColumn("dt", F.lit(run_date.isoformat()).cast("date"))
-    replace_partition(dated, path, "dt", file_format=file_format, one_value=True)
+    """The run's rows in the folder of its day; the day's earlier drop is replaced.
 
+    The folder is the target of the write: with one value there is nothing to sort or to rebalance.
+    """
+    _writer(df, file_format).mode("overwrite").save(f"{path.rstrip('/')}/dt={run_date.isoformat()}")
 
-def replace_partition(
-    df: DataFrame, path: str, *columns: str, file_format: str = "parquet", one_value: bool = False
-) -> None:
-    """Replace the partitions the rows fall in and leave the others alone.
 
-    ``one_value`` says that all rows go to one partition, so they need no rebalance.
-    """
-    rows = df if one_value else spread_by(df, *columns)
-    writer = _writer(rows, file_format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*columns).save(path)
+def replace_partition(df: DataFrame, path: str, *columns: str, file_format: str = "parquet") -> None:
+    """Replace the partitions the rows fall in and leave the others alone."""
+    writer = _writer(spread_by(df, *columns), file_format).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).save(path)
 
 
 def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
@@ -67,14 +63,13 @@ def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> N
     _writer(df, "parquet", max(max_records, 0)).mode("overwrite").save(path)
 
 
-def append_run(df: DataFrame, path: str, run_date: date, max_records: int = 0) -> None:
-    """Add one run below ``dt=…/id_execucao=…``.
+def append_run(df: DataFrame, path: str, run_date: date, run_id: str, max_records: int = 0) -> None:
+    """Add one run below ``dt=…/id_execucao=…``; its id moves from the rows into the folder name.
 
-    Only this run's own folder is replaced, so a retried run does not add its rows twice.
+    Only the run's own folder is written, so a retried run does not add its rows twice.
     """
-    rows = df.withColumn("dt", F.lit(run_date.isoformat()).cast("date"))
-    writer = _writer(rows, "parquet", max_records).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("dt", "id_execucao").save(path)
+    folder = f"{path.rstrip('/')}/dt={run_date.isoformat()}/id_execucao={run_id}"
+    _writer(df.drop("id_execucao"), "parquet", max_records).mode("overwrite").save(folder)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:

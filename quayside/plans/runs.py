@@ -21,7 +21,6 @@ from quayside.plans.publish import (
     publish_csv_overwrite,
     publish_dated,
     publish_version,
-    spread_by,
 )
 from quayside.sources.columns import use_columns
 from quayside.sources.delimited import scan_delimited
@@ -180,8 +179,6 @@ def build_model(
         rows = typed_projection(snapshot, catalogue, dialect, day_column)
     if (cfg["migration_type"] or "").upper() == "INCREMENTAL":
         return counted(rows, lambda df: merge_range(spark, df, target, start, end))
-    if "DT" in rows.columns:
-        rows = spread_by(rows, "DT")
     return counted(rows, lambda df: full_refresh(df, target))
 
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from quayside.operators import dedup, filters
-from quayside.operators.audit import with_run_audit
+from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.operators.casting import typed_projection
 from quayside.plans.publish import append_run
 from quayside.queries.casting import SQLSERVER_LINES, _doubles
@@ -51,7 +51,7 @@ def land_lines_twice(spark, sf_dir) -> str:
     path = scratch_path(spark, "landing")
     lines = table(spark, sf_dir, "lineitem")
     for rows, run in ((lines.filter(F.col("l_shipdate") < F.lit(CUT_OFF)), FIRST_RUN), (lines, SECOND_RUN)):
-        append_run(with_run_audit(as_text(rows), run), path, run.date())
+        append_run(with_run_audit(as_text(rows), run), path, run.date(), run_id_of(run))
     return path
 
 
@@ -82,8 +82,8 @@ def typed_snapshot_query(spark, sf_dir):
 def latest_snapshot(spark, sf_dir):
     path = scratch_path(spark, "snapshots")
     orders = as_text(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"))
-    append_run(with_run_audit(orders, FIRST_RUN), path, FIRST_RUN.date())
-    append_run(with_run_audit(orders, SECOND_RUN), path, SECOND_RUN.date())
+    append_run(with_run_audit(orders, FIRST_RUN), path, FIRST_RUN.date(), run_id_of(FIRST_RUN))
+    append_run(with_run_audit(orders, SECOND_RUN), path, SECOND_RUN.date(), run_id_of(SECOND_RUN))
     return filters.latest_snapshot(external_table(spark, path))
 
 

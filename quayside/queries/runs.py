@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from quayside.operators.audit import with_run_audit
+from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.plans.hooks import keep_first
 from quayside.plans.publish import append_run
 from quayside.plans.runs import build_models, run_files, run_summary
@@ -95,8 +95,8 @@ def model_build(spark, sf_dir):
     run = datetime(2025, 3, 9, 2)
     orders = as_text(table(spark, sf_dir, "orders").withColumn("o_orderdate", F.trunc("o_orderdate", "year")))
     customers = as_text(table(spark, sf_dir, "customer"))
-    append_run(with_run_audit(orders, run), f"{landing}/vendas/orders", run.date())
-    append_run(with_run_audit(customers, run), f"{landing}/dbo/customer", run.date())
+    append_run(with_run_audit(orders, run), f"{landing}/vendas/orders", run.date(), run_id_of(run))
+    append_run(with_run_audit(customers, run), f"{landing}/dbo/customer", run.date(), run_id_of(run))
     config = spark.createDataFrame(
         [
             ("vendas.orders", None, "bronze", "orders", "INCREMENTAL", "o_orderdate", None, None, 0),

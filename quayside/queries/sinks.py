@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from quayside.operators.audit import with_run_audit
+from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.operators.filters import latest_snapshot
 from quayside.plans import publish
 from quayside.queries.register import query, table
@@ -78,7 +78,7 @@ def append_run(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     runs = [(orders.filter("o_orderstatus = 'F'"), datetime(2025, 3, 9, 2)), (orders, datetime(2025, 3, 9, 14))]
     for rows, run in [*runs, runs[1]]:  # the second run is retried
-        publish.append_run(with_run_audit(rows.select("o_orderkey"), run), path, run.date())
+        publish.append_run(with_run_audit(rows.select("o_orderkey"), run), path, run.date(), run_id_of(run))
     return external_table(spark, path)
 
 
@@ -106,7 +106,7 @@ def full_refresh(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     publish.full_refresh(orders.select("o_orderkey", "o_totalprice"), path)
     run = datetime(2025, 3, 9, 2)
-    publish.append_run(with_run_audit(orders.filter("o_orderstatus <> 'P'"), run), landing, run.date())
+    publish.append_run(with_run_audit(orders.filter("o_orderstatus <> 'P'"), run), landing, run.date(), run_id_of(run))
     snapshot = latest_snapshot(external_table(spark, landing))
     publish.full_refresh(snapshot.select("o_orderkey", "o_totalprice"), path)
     return spark.read.parquet(path)

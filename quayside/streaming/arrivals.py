@@ -49,7 +49,7 @@ def stream_ingest(
         if rejects:
             found = [(name, number) for name, number in seen.get.items() if name != "run"]
             report = spark.createDataFrame(found, "column_name string, rejected long")
-            replace_partition(report.withColumn("batch", F.lit(batch_id)), rejects, "batch", one_value=True)
+            report.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
 
     query = (
         arriving_gz_pipe(spark, source, columns, max_files)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside import storage
-from quayside.operators.audit import with_run_audit
+from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.plans import publish
 
 
@@ -52,7 +52,7 @@ def test_append_run_is_idempotent_per_run(spark, tmp_path):
     path = str(tmp_path / "t")
     first, second = datetime(2025, 1, 1, 1), datetime(2025, 1, 1, 2)
     for run in (first, second, second):
-        publish.append_run(with_run_audit(spark.range(2), run), path, run.date())
+        publish.append_run(with_run_audit(spark.range(2), run), path, run.date(), run_id_of(run))
     assert spark.read.parquet(path).groupBy("id_execucao").count().orderBy("id_execucao").collect() == [
         ("20250101T010000Z", 2),
         ("20250101T020000Z", 2),
