@@ -3,7 +3,7 @@
     BENCH_SF_DIR   folder of the tables (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores (default 8)
     BENCH_RUNS     timed runs per query after one warm-up, the median counts (default 3)
-    BENCH_QUERIES  comma-separated names (default: all)
+    BENCH_QUERIES  comma-separated names, or "all" (default: the headline queries below)
 
 A query is timed from its call, writes included, until its last row went to a sink that drops it.
 """
@@ -22,6 +22,38 @@ from quayside.queries import QUERIES
 from quayside.session import local_session
 
 
+HEADLINE = [
+    "typed_snapshot",
+    "typed_sqlserver",
+    "cast_to_schema",
+    "infer_types",
+    "scan_delimited",
+    "scan_gz_pipe",
+    "scan_mixed_folder",
+    "scan_workbooks",
+    "scan_envelope",
+    "page_gaps",
+    "flatten_programs",
+    "flatten_offers",
+    "normalize_scalars",
+    "incremental_window",
+    "latest_snapshot",
+    "dedup_keep_first",
+    "latest_by_key",
+    "facts_for_keys",
+    "lookup_config",
+    "positional_concat",
+    "strip_accents",
+    "normalize_entity",
+    "replace_partition",
+    "merge_range",
+    "bounded_files",
+    "stream_ingest",
+    "config_run",
+    "model_build",
+]
+
+
 def timed(spark, name: str, sf_dir: str) -> float:
     began = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -33,7 +65,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     wanted = os.environ.get("BENCH_QUERIES")
-    names = wanted.split(",") if wanted else list(QUERIES)
+    names = list(QUERIES) if wanted == "all" else wanted.split(",") if wanted else HEADLINE
     spark = local_session(cpus, "quayside-bench")
     spark.sparkContext.setLogLevel("OFF")
     seconds = {}

@@ -21,7 +21,10 @@ BRAND_RULES: tuple[tuple[tuple[str, ...], str], ...] = ((("pague", "menos"), "Pa
 
 @cache
 def _accent_table() -> tuple[str, str]:
-    """Every BMP character whose decomposition holds one kept character, and that character."""
+    """Every BMP character whose decomposition holds one kept character, and that character.
+
+    Behind them the common characters that stand for none: ``translate`` drops what has no partner.
+    """
     accented, plain = [], []
     for code in range(0x80, 0x10000):
         if 0xD800 <= code <= 0xDFFF:
@@ -30,7 +33,9 @@ def _accent_table() -> tuple[str, str]:
         if len(parts) == 1:
             accented.append(chr(code))
             plain.append(parts[0])
-    return "".join(accented), "".join(plain)
+    common = (chr(code) for code in (*range(1, 0x370), *range(0x2000, 0x2070)))
+    dropped = [ch for ch in common if ch not in _KEPT and ch not in accented]
+    return "".join(accented + dropped), "".join(plain)
 
 
 # Every character that counts as white space, line and no-break kinds included.
@@ -50,10 +55,13 @@ def strip_accents(c: Column) -> Column:
     """Plain letters for accented ones; what is left outside letters, digits, ``_`` and space goes.
 
     Spark has no Unicode decomposition; ``translate`` with the table of all decomposable characters
-    does the same for every character of the basic plane.
+    does the same for every character of the basic plane. The slower pattern only sees text that
+    holds something rarer.
     """
-    accented, plain = _accent_table()
-    return F.regexp_replace(F.translate(c, accented, plain), "[^A-Za-z0-9_ ]", "")
+    table, plain = _accent_table()
+    text = F.translate(c, table, plain)
+    rare = "[^A-Za-z0-9_ ]"
+    return F.when(text.rlike(rare), F.regexp_replace(text, rare, "")).otherwise(text)
 
 
 def fix_mojibake(c: Column, strict_reference: bool = False) -> Column:

@@ -86,26 +86,39 @@ def cast_rejects(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
 def best_types(df: DataFrame) -> dict[str, str]:
     """The narrowest of bigint, double and boolean that every given value of a text column fits.
 
-    One aggregate over all columns; only its single row of counts comes to the driver.
+    A value is a whole number, another number, a boolean or text, one bit each; a column's bits are
+    or-ed. So each value is looked at once, and only one row of bits comes to the driver.
     """
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not names:
         return {}
-    rules = {"bigint": to_integer, "double": to_number, "boolean": to_boolean}
-    counts = []
-    for i, name in enumerate(names):
-        given = F.when(F.lower(_bare(name)) != "nan", _bare(name))
-        counts.append(F.count(given).alias(f"{i}_given"))
-        counts += [F.count(rule(given)).alias(f"{i}_{kind}") for kind, rule in rules.items()]
-    row = df.agg(*counts).first()
+    row = df.agg(*[F.bit_or(_kind(_bare(name))).alias(f"kinds_{i}") for i, name in enumerate(names)]).first()
     chosen = {}
     for i, name in enumerate(names):
-        given = row[f"{i}_given"]
-        fits = [kind for kind in rules if given and row[f"{i}_{kind}"] == given]
-        chosen[name] = fits[0] if fits else "string"
+        kinds = row[f"kinds_{i}"] or _TEXT
+        if kinds == _WHOLE:
+            chosen[name] = "bigint"
+        elif kinds | _WHOLE | _NUMBER == _WHOLE | _NUMBER:
+            chosen[name] = "double"
+        else:
+            chosen[name] = "boolean" if kinds == _BOOLEAN else "string"
     return chosen
 
 
+_WHOLE, _NUMBER, _BOOLEAN, _TEXT = 1, 2, 4, 8
+
+
+def _kind(c: Column) -> Column:
+    """The bit of a value's kind; null for a missing one."""
+    return (
+        F.when(c.isNull() | (F.lower(c) == "nan"), F.lit(None).cast("int"))
+        .when(to_integer(c).isNotNull(), F.lit(_WHOLE))
+        .when(to_number(c).isNotNull(), F.lit(_NUMBER))
+        .when(to_boolean(c).isNotNull(), F.lit(_BOOLEAN))
+        .otherwise(F.lit(_TEXT))
+    )
+
+
 def infer_types(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
     """Cast text columns to their best type, nested columns to JSON text, and NaN to null.
 

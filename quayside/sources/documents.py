@@ -108,10 +108,10 @@ def page_gaps(pages: DataFrame, page: str = "page", body: str = "body") -> DataF
     The first page's total and limit say how many there should be; without them none is expected.
     The numbers come from a distributed range, as there may be very many.
     """
-    landed = pages.filter(F.col(body).isNotNull())
     head = F.from_json(F.col(body), PAGE_HEAD)["data"]
-    first = landed.orderBy(page).limit(1).select(head["total"].alias("total"), head["limit"].alias("limit")).first()
+    first_page = pages.filter(F.col(page) == pages.agg(F.min(page)).scalar())
+    first = first_page.select(head["total"].alias("total"), head["limit"].alias("limit")).first()
     last = -(-first["total"] // first["limit"]) if first and first["total"] and first["limit"] else 0
     expected = pages.sparkSession.range(1, last + 1).toDF("page")
-    found = landed.filter(F.get_json_object(body, "$.data.scan").isNotNull())
+    found = pages.filter(F.get_json_object(body, "$.data.scan").isNotNull())
     return expected.join(found.select(F.col(page).cast("bigint").alias("page")), "page", "left_anti")
