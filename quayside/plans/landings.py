@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import storage
 from quayside.functions.dates import coerce_datetime, iso_text
 from quayside.functions.names import sanitize_names
 from quayside.functions.text import BRAND_RULES, with_entity_name
@@ -83,9 +84,12 @@ def run_collections(
 
 def land_drop(spark: SparkSession, prefix: str, run_date: date, target: str, run_ts: datetime) -> int:
     """A day's folder of JSON-lines and CSV files as one all-text table; its day is replaced."""
+    folder = f"{prefix.rstrip('/')}/{run_date.isoformat()}"
+    if not storage.exists(spark, folder):
+        return 0
     try:
-        rows = scan_mixed_folder(spark, f"{prefix.rstrip('/')}/{run_date.isoformat()}")
-    except ValueError:
+        rows = scan_mixed_folder(spark, folder)
+    except ValueError:  # nothing in it that can be read
         return 0
     landed = landing_schema(rows.drop("source_file"), run_ts)
     return counted(landed, lambda df: publish_dated(df, target, run_date, "parquet"))

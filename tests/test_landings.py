@@ -28,6 +28,7 @@ def test_collection_landing_makes_everything_text(spark, tmp_path):
 def test_drop_without_files_lands_nothing(spark, tmp_path):
     (tmp_path / "in" / "2025-03-10").mkdir(parents=True)
     assert landings.land_drop(spark, str(tmp_path / "in"), date(2025, 3, 10), str(tmp_path / "out"), RUN) == 0
+    assert landings.land_drop(spark, str(tmp_path / "in"), date(2025, 3, 11), str(tmp_path / "out"), RUN) == 0
     assert not (tmp_path / "out").exists()
 
 

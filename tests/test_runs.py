@@ -28,13 +28,13 @@ def test_files_run(spark, tmp_path):
     drop.mkdir()
     agenda = [["GRUPO_COMPRA", "Descrição"], ["g1", "first"], ["g2", "x"], ["g1", "second"]]
     (drop / "Agenda.xlsx").write_bytes(workbook_bytes({"Plan1": agenda, "Plan2": [["Preço"], ["1,5"], ["2,25"]]}))
-    (drop / "iqvia.txt").write_bytes("Código;Preço\n1;1,5\n2;\n".encode("latin-1"))
+    (drop / "mercado.txt").write_bytes("Código;Preço\n1;1,5\n2;\n".encode("latin-1"))
     config = spark.createDataFrame(
         [
             config_row("Agenda.xlsx", "xlsx", "agenda", sheet_name="0", custom_processor="agenda_sugestao_compras"),
             config_row("Agenda.xlsx", "xlsx", "precos", sheet_name="Plan2", decimal=",", output_file_format="parquet"),
             config_row(
-                "iqvia.txt", "txt", "iqvia", delimiter=";", encoding="latin1", decimal=",",
+                "mercado.txt", "txt", "mercado", delimiter=";", encoding="latin1", decimal=",",
                 gcs_folder="arquivos/", output_file_format="parquet", write_mode="partitioned",
             ),
             config_row("Agenda.xlsx", "xlsx", "bad", sheet_name="Plan1", custom_processor="none_such"),
@@ -42,24 +42,24 @@ def test_files_run(spark, tmp_path):
         ],
         FILE_CONFIG,
     )
-    report = run_files(spark, config, str(drop), str(out), RUN, ["Agenda.xlsx", "iqvia.txt", "lost.csv"])
+    report = run_files(spark, config, str(drop), str(out), RUN, ["Agenda.xlsx", "mercado.txt", "lost.csv"])
     assert rows(report.select("source", "target", "status", "rows")) == [
         ("Agenda.xlsx", "agenda", "ok", 2),
         ("Agenda.xlsx", "bad", "failed", 0),
         ("Agenda.xlsx", "precos", "ok", 2),
         ("Agenda.xlsx", "worse", "failed", 0),
-        ("iqvia.txt", "iqvia", "ok", 2),
+        ("mercado.txt", "mercado", "ok", 2),
         ("lost.csv", None, "failed", 0),
     ]
     agenda = spark.read.option("header", True).csv(str(out / "agenda"))
     assert agenda.columns == ["GRUPO_COMPRA", "DESCRICAO", "DT_INGESTAO"]
     assert rows(agenda) == [(g, d, "2025-03-10 09:00:00.000000") for g, d in (("g1", "first"), ("g2", "x"))]
     assert rows(spark.read.parquet(str(out / "precos")).select("PRECO")) == [(1.5,), (2.25,)]
-    iqvia = spark.read.parquet(str(out / "arquivos" / "iqvia"))
-    assert iqvia.dtypes[:2] == [("CODIGO", "bigint"), ("PRECO", "double")]
-    assert rows(iqvia.select("CODIGO", "PRECO", F.col("dt").cast("string"))) == [(1, 1.5, "2025-03-10"), (2, None, "2025-03-10")]
+    mercado = spark.read.parquet(str(out / "arquivos" / "mercado"))
+    assert mercado.dtypes[:2] == [("CODIGO", "bigint"), ("PRECO", "double")]
+    assert rows(mercado.select("CODIGO", "PRECO", F.col("dt").cast("string"))) == [(1, 1.5, "2025-03-10"), (2, None, "2025-03-10")]
     assert rows(run_summary(report)) == [
-        ("Agenda.xlsx", "failed", 2, 0), ("Agenda.xlsx", "ok", 2, 4), ("iqvia.txt", "ok", 1, 2), ("lost.csv", "failed", 1, 0),
+        ("Agenda.xlsx", "failed", 2, 0), ("Agenda.xlsx", "ok", 2, 4), ("mercado.txt", "ok", 1, 2), ("lost.csv", "failed", 1, 0),
     ]
 
 
