@@ -19,7 +19,7 @@ from quayside.operators.filters import eligible_cycles, lookback_window, start_o
 from quayside.operators.lookups import facts_for_keys
 from quayside.operators.nested import OFFER_PAGE_SCHEMA, flatten_offers, flatten_programs, normalize_scalars, raw_fallback
 from quayside.plans.publish import MAX_RECORDS, append_run, publish_csv_overwrite, publish_dated
-from quayside.plans.runs import REPORT_SCHEMA, _run_all, _settings, counted
+from quayside.plans.runs import REPORT_SCHEMA, counted, run_all, settings_of
 from quayside.sources.documents import page_items, scan_envelope, scan_mixed_folder
 from quayside.sources.tables import scan_collection, scan_free_query
 
@@ -71,7 +71,7 @@ def run_collections(
 ) -> DataFrame:
     """Extract every active collection; ``read`` gives a collection by name from whatever holds it."""
     jobs = []
-    for cfg in map(_settings, active_config(config, names, "source_table_name", ["source_table_name"], False).collect()):
+    for cfg in map(settings_of, active_config(config, names, "source_table_name", ["source_table_name"], False).collect()):
         name = cfg["source_table_name"]
 
         def job(cfg=cfg, name=name) -> int:
@@ -79,7 +79,7 @@ def run_collections(
             return land_collection(rows, f"{landing_root.rstrip('/')}/{name}", run_ts)
 
         jobs.append((name, cfg["target_table_name"], job))
-    return spark.createDataFrame(_run_all(jobs, workers), REPORT_SCHEMA)
+    return spark.createDataFrame(run_all(jobs, workers), REPORT_SCHEMA)
 
 
 def land_drop(spark: SparkSession, prefix: str, run_date: date, target: str, run_ts: datetime) -> int:
@@ -152,4 +152,4 @@ def land_survey(
             keyed = recent.withColumn(cycle_key, F.col(facts[entity]).cast("string"))
             records = facts_for_keys(keyed, cycles, cycle_key, capped=cap is not None)
         jobs.append((entity, entity, lambda e=entity, r=records: land_records(r, f"{root.rstrip('/')}/{e}", run_ts)))
-    return spark.createDataFrame(_run_all(jobs, 3), REPORT_SCHEMA)
+    return spark.createDataFrame(run_all(jobs, 3), REPORT_SCHEMA)

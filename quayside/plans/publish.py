@@ -44,6 +44,11 @@ def publish_csv_overwrite(df: DataFrame, path: str) -> None:
     _writer(df, "csv").mode("overwrite").save(path)
 
 
+def publish_append(df: DataFrame, path: str, file_format: str = "csv") -> None:
+    """More files beside those that are there."""
+    _writer(df, file_format).mode("append").save(path)
+
+
 def publish_dated(df: DataFrame, path: str, run_date: date, file_format: str = "csv") -> None:
     """The run's rows in the folder of its day; the day's earlier drop is replaced.
 

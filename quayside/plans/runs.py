@@ -18,6 +18,7 @@ from quayside.plans.hooks import HOOKS, Hook, common_chain, custom_transform
 from quayside.plans.publish import (
     full_refresh,
     merge_range,
+    publish_append,
     publish_csv_overwrite,
     publish_dated,
     publish_version,
@@ -30,7 +31,7 @@ from quayside.sources.workbook import sheet_table, workbook_files
 REPORT_SCHEMA = "source string, target string, status string, rows long, message string"
 
 
-def _settings(row: Row) -> dict:
+def settings_of(row: Row) -> dict:
     return {k.lower(): v for k, v in row.asDict().items()}
 
 
@@ -42,7 +43,7 @@ def _attempt(source: str, target: str, job: Callable[[], int]) -> tuple:
         return (source, target, "failed", 0, str(error).splitlines()[0][:500])
 
 
-def _run_all(jobs: Iterable[tuple[str, str, Callable[[], int]]], workers: int) -> list[tuple]:
+def run_all(jobs: Iterable[tuple[str, str, Callable[[], int]]], workers: int) -> list[tuple]:
     """Submit jobs from a few threads, so that small tables fill the cluster together."""
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(lambda job: _attempt(*job), jobs))
@@ -110,10 +111,11 @@ def _ingest(spark: SparkSession, cfg: Mapping, source_root: str, target: str, ru
         day = wall_clock(run_ts).date()
         return counted(rows, lambda df: publish_dated(df, target, day, out_format))
     if mode == "append":
-        return counted(rows, lambda df: df.write.format(out_format).option("header", True).mode("append").save(target))
+        return counted(rows, lambda df: publish_append(df, target, out_format))
     if mode != "overwrite":
         raise ValueError(f"unknown write mode: {mode}")
-    return counted(rows, (lambda df: full_refresh(df, target)) if out_format == "parquet" else (lambda df: publish_csv_overwrite(df, target)))
+    overwrite = full_refresh if out_format == "parquet" else publish_csv_overwrite
+    return counted(rows, lambda df: overwrite(df, target))
 
 
 def run_files(
@@ -131,7 +133,7 @@ def run_files(
     A requested name without a configuration is reported as failed, as is a row whose job fails.
     """
     rows = active_config(config, names, required=False).collect()
-    settings = [_settings(r) for r in rows]
+    settings = [settings_of(r) for r in rows]
     known = {cfg["source_file_name"] for cfg in settings}
     jobs = []
     for cfg in settings:
@@ -144,7 +146,7 @@ def run_files(
                 lambda cfg=cfg, target=target: _ingest(spark, cfg, source_root, target, run_ts, hooks),
             )
         )
-    report = _run_all(jobs, workers)
+    report = run_all(jobs, workers)
     for name in names or []:
         if name.strip() and name.strip() not in known:
             report.append((name.strip(), None, "failed", 0, "no active configuration"))
@@ -204,7 +206,7 @@ def build_models(
     for r in catalogues.select("table_name", "column_name", "data_type").collect():
         columns.setdefault(r["table_name"], []).append((r["column_name"], r["data_type"]))
     jobs = []
-    for cfg in map(_settings, pending_config(config, names, file_source).collect()):
+    for cfg in map(settings_of, pending_config(config, names, file_source).collect()):
         source = cfg.get("source_table_name") or cfg.get("source_file_name") or ""
         target = cfg["target_table_name"]
         path = f"{bronze_root.rstrip('/')}/{cfg['target_dataset']}/{target}"
@@ -217,7 +219,7 @@ def build_models(
                 ),
             )
         )
-    report = _run_all(jobs, workers)
+    report = run_all(jobs, workers)
     if config_versions:
         done = [target for _, target, status, _, _ in report if status == "ok"]
         publish_version(mark_processed(config, done), config_versions)

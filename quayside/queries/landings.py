@@ -48,11 +48,11 @@ def collection_run(spark, sf_dir):
     report = landings.run_collections(
         spark, config, source.__getitem__, landing, bronze, RUN_TS, end="2024-01-25", key="event_id"
     )
-    landed_events = external_table(spark, f"{landing}/events").select(
-        F.lit("events").alias("collection"), F.col("event_id").alias("key"), F.col("user_id").alias("b"), F.col("props").alias("c"), "id_execucao"
+    landed_events = external_table(spark, f"{landing}/events").selectExpr(
+        "'events' as collection", "event_id as key", "user_id as b", "props as c", "id_execucao"
     )
-    landed_orders = external_table(spark, f"{landing}/orders").select(
-        F.lit("orders").alias("collection"), F.col("o_custkey").alias("key"), F.col("n").alias("b"), F.lit(None).cast("string").alias("c"), "id_execucao"
+    landed_orders = external_table(spark, f"{landing}/orders").selectExpr(
+        "'orders' as collection", "o_custkey as key", "n as b", "cast(null as string) as c", "id_execucao"
     )
     status = report.select(F.col("source").alias("collection"), "status")
     return status.join(landed_events.unionByName(landed_orders), "collection", "left")
@@ -171,9 +171,8 @@ def survey_landing(spark, sf_dir):
     )
 
     def landed(entity, key, part, score):
-        return external_table(spark, f"{root}/{entity}").select(
-            F.lit(entity).alias("entity"), F.col(key).alias("key"), part.alias("part"), score.alias("score"), F.col("_raw").alias("raw")
-        )
+        kept = [F.lit(entity).alias("entity"), F.col(key).alias("key"), part.alias("part"), score.alias("score")]
+        return external_table(spark, f"{root}/{entity}").select(*kept, F.col("_raw").alias("raw"))
 
     none = F.lit(None)
     cycle = landed("cycle", "id", none.cast("bigint"), none.cast("double"))

@@ -151,11 +151,14 @@ def land_nested(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.struct(F.col("o_orderstatus").alias("status"), F.struct(F.col("o_totalprice").alias("total")).alias("sum")).alias("head"),
-        F.transform(upto(F.col("o_orderkey") % 4), lambda i: F.struct((F.col("o_custkey") + i).alias("line"))).alias("lines"),
+        F.transform(
+            upto(F.col("o_orderkey") % 4), lambda i: F.struct((F.col("o_custkey") + i).alias("line"))
+        ).alias("lines"),
     )
     bounded_files(rows, path)
+    first = F.get("lines", F.lit(0))["line"].alias("first_line")
     return spark.read.parquet(path).select(
-        "o_orderkey", "head.status", "head.sum.total", F.size("lines").alias("n_lines"), F.get("lines", F.lit(0))["line"].alias("first_line")
+        "o_orderkey", "head.status", "head.sum.total", F.size("lines").alias("n_lines"), first
     )
 
 

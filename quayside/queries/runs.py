@@ -126,7 +126,7 @@ def model_build(spark, sf_dir):
         spark.read.parquet(f"{bronze}/bronze/customer").select(F.lit("customer").alias("target"), F.col("C_ACCTBAL").alias("amount"))
     )
     sums = built.groupBy("target").agg(F.count("amount").alias("typed"), F.sum("amount").cast("double").alias("total"))
-    flags = spark.read.parquet(f"{versions}/v=1").select(F.col("target_table_name").alias("target"), F.col("flag_table_created").alias("flag"))
+    flags = spark.read.parquet(f"{versions}/v=1").selectExpr("target_table_name as target", "flag_table_created as flag")
     source = F.when(F.col("source") == "customer", "dbo.customer").otherwise(F.col("source"))
     return report.join(sums, "target", "left").join(flags, "target", "left").select(
         source.alias("source"), "status", "rows", "typed", "total", "flag"

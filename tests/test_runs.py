@@ -48,8 +48,8 @@ def test_files_run(spark, tmp_path):
         ("Agenda.xlsx", "bad", "failed", 0),
         ("Agenda.xlsx", "precos", "ok", 2),
         ("Agenda.xlsx", "worse", "failed", 0),
-        ("mercado.txt", "mercado", "ok", 2),
         ("lost.csv", None, "failed", 0),
+        ("mercado.txt", "mercado", "ok", 2),
     ]
     agenda = spark.read.option("header", True).csv(str(out / "agenda"))
     assert agenda.columns == ["GRUPO_COMPRA", "DESCRICAO", "DT_INGESTAO"]
@@ -59,7 +59,7 @@ def test_files_run(spark, tmp_path):
     assert mercado.dtypes[:2] == [("CODIGO", "bigint"), ("PRECO", "double")]
     assert rows(mercado.select("CODIGO", "PRECO", F.col("dt").cast("string"))) == [(1, 1.5, "2025-03-10"), (2, None, "2025-03-10")]
     assert rows(run_summary(report)) == [
-        ("Agenda.xlsx", "failed", 2, 0), ("Agenda.xlsx", "ok", 2, 4), ("mercado.txt", "ok", 1, 2), ("lost.csv", "failed", 1, 0),
+        ("Agenda.xlsx", "failed", 2, 0), ("Agenda.xlsx", "ok", 2, 4), ("lost.csv", "failed", 1, 0), ("mercado.txt", "ok", 1, 2),
     ]
 
 
