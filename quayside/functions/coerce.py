@@ -13,13 +13,17 @@ from quayside.functions.dates import coerce_datetime
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _ZERO_FRACTION = r"^\s*[+-]?\d+\.0*\s*$"
 _UNUSUAL = r"[eE]|^\s*[+-]?\.0+\s*$"
-_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+NUMBER = r"^\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+
+# A whole number that fits a bigint whatever its digits are.
+PLAIN_WHOLE = r"^\s*[+-]?\d{1,18}(?:\.0*)?\s*$"
 
 
 def to_number(c: Column) -> Column:
     """Text to double; NaN counts as missing."""
     text = c.cast("string")
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def to_integer(c: Column) -> Column:

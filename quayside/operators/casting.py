@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.coerce import COERCIONS, to_boolean, to_integer, to_number
+from quayside.functions.coerce import COERCIONS, NUMBER, PLAIN_WHOLE, to_boolean, to_integer, to_number
 from quayside.functions.dates import utc_instant
 
 # Source column types and the warehouse types they are loaded as.
@@ -110,10 +110,12 @@ _WHOLE, _NUMBER, _BOOLEAN, _TEXT = 1, 2, 4, 8
 
 def _kind(c: Column) -> Column:
     """The bit of a value's kind; null for a missing one."""
+    number = c.try_cast("double")
+    whole = (number == F.floor(number)) & to_integer(c).isNotNull()
     return (
         F.when(c.isNull() | (F.lower(c) == "nan"), F.lit(None).cast("int"))
-        .when(to_integer(c).isNotNull(), F.lit(_WHOLE))
-        .when(to_number(c).isNotNull(), F.lit(_NUMBER))
+        .when(c.rlike(PLAIN_WHOLE), F.lit(_WHOLE))
+        .when(c.rlike(NUMBER), F.when(whole, F.lit(_WHOLE)).otherwise(F.lit(_NUMBER)))
         .when(to_boolean(c).isNotNull(), F.lit(_BOOLEAN))
         .otherwise(F.lit(_TEXT))
     )

@@ -71,6 +71,12 @@ def test_infer_types(spark):
     ]
 
 
+def test_inferred_kinds_of_odd_numbers(spark):
+    columns = {"long": ["1234567890123456789", "1e3"], "wide": ["99999999999999999999", "1"], "inf": ["inf", "1"], "dot": [".0", "7."]}
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"`{c}` string" for c in columns))
+    assert casting.best_types(df) == {"long": "bigint", "wide": "double", "inf": "double", "dot": "bigint"}
+
+
 LANDED = "ID string, AMOUNT string, FLAG string, AT string, DT string, ODD string, DT_INGESTAO timestamp_ntz, ID_EXECUCAO string"
 
 
