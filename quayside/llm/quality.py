@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from quayside.llm import hashing as H
 
 WIDTH, STRIDE, EMBED, FILTERS = 8, 4, 6, 24
-CHUNK, STEP = 128, 112  # frames of a chunk, and from one chunk to the next
+CHUNK, STEP = 64, 56  # frames of a chunk, and from one chunk to the next
 
 
 class Net(NamedTuple):
@@ -110,7 +110,7 @@ def _gradients(net: Net, lay: Layout, label: np.ndarray, weight: np.ndarray) ->
     return Net(d_embed, d_conv, d_raw.sum(axis=0), out @ features, np.array([out.sum()])), loss
 
 
-def fit(texts: list[bytes], label: np.ndarray, weight: np.ndarray, epochs: int, batch: int, rate: float, seed: int) -> Net:
+def fit(texts: list[bytes], label: np.ndarray, weight: np.ndarray, steps: int, batch: int, rate: float, seed: int) -> Net:
     rng = np.random.default_rng(seed)
     net = Net(
         rng.normal(0, 0.5, (256, EMBED)).astype(np.float32),
@@ -120,9 +120,9 @@ def fit(texts: list[bytes], label: np.ndarray, weight: np.ndarray, epochs: int,
         np.zeros(1, np.float32),
     )
     moment, spread, step = [np.zeros_like(x) for x in net], [np.zeros_like(x) for x in net], 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
+        for at in range(0, len(order), batch)[: steps - step]:
             own = order[at : at + batch]
             data = np.frombuffer(b"".join(texts[i] for i in own), np.uint8)
             lay = layout(data, np.append(0, np.cumsum([len(texts[i]) for i in own])))
@@ -144,7 +144,7 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
     per_class: int = 800,
-    epochs: int = 6,
+    steps: int = 300,
     batch: int = 32,
     rate: float = 0.01,
     seed: int = 7,
@@ -164,7 +164,7 @@ def train(
         return count[1] / (count[0] + count[1])
     share = {x: count[x] / max(1.0, float((label == x).sum())) for x in (0, 1)}
     weight = np.array([share[r.label] for r in rows], dtype=np.float32)
-    return fit([(r.text or "").encode() for r in rows], label, weight / weight.mean(), epochs, batch, rate, seed)
+    return fit([(r.text or "").encode() for r in rows], label, weight / weight.mean(), steps, batch, rate, seed)
 
 
 def _scorer(held):
