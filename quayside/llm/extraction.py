@@ -57,8 +57,11 @@ _TAGS = {
 }
 _TAG = {w: k for k, ws in _TAGS.items() for w in ws.split()}
 _SPLIT = re.compile(r"[^a-z]+")
-FEATURES = ["bias", *_TAGS, *_WORDS, "x:none", "x:short", "x:long", "l:some", "l:most", "x:copyright", "x:prompt"]
+FEATURES = ["bias", *_TAGS, *_WORDS, "x:none", "x:short", "x:long", "l:some", "l:most", "x:copyright"]
 _PLACE = {f: i for i, f in enumerate(FEATURES)}
+_AROUND = {_PLACE[f] for f in _PLACE if f in ("t:frame", "t:menu", "t:side", "t:form") or f.startswith("n:") and f != "n:content"}
+_INSIDE = {_PLACE["t:content"], _PLACE["n:content"]}
+TIES = 3
 _COPYRIGHT = re.compile(r"©|\(c\)|all rights reserved", re.IGNORECASE)
 
 
@@ -91,19 +94,25 @@ def features(page: Page) -> list[tuple[int, ...]]:
     return out
 
 
-def beliefs(parent: list[int], own: list[float], edge: tuple[float, float, float, float]) -> tuple[list[float], list[tuple[float, float, float, float]]]:
+def ties(page: Page, seen: list[tuple[int, ...]]) -> list[int]:
+    """Which pair potential ties each block to its parent: 0 plain, 1 marked as something around an article, 2 as content."""
+    around = [bool(_AROUND.intersection(fs)) for fs in seen]
+    return [1 if a else 2 if _INSIDE.intersection(fs) else 0 for a, fs in zip(around, seen)]
+
+
+def beliefs(parent: list[int], own: list[float], tie: list[int], edges: list[tuple[float, float, float, float]]) -> tuple[list[float], list[tuple[float, float, float, float]]]:
     """Content marginals, and for each node but the first the joint of (parent, child) as 00, 01, 10, 11.
 
-    ``own`` is a node's log-odds of content, ``edge`` the four pair potentials as factors.
+    ``own`` is a node's log-odds of content, ``edges`` the pair potentials as factors, ``tie`` which of them holds.
     """
     n = len(parent)
-    e00, e01, e10, e11 = edge
     up0, up1 = [1.0] * n, [math.exp(min(30.0, max(-30.0, x))) for x in own]
     to0, to1 = [1.0] * n, [1.0] * n
     for i in range(n - 1, 0, -1):  # a child comes after its parent: leaves first
         s = up0[i] + up1[i]
         a, b = up0[i] / s, up1[i] / s
         up0[i], up1[i] = a, b
+        e00, e01, e10, e11 = edges[tie[i]]
         to0[i], to1[i] = e00 * a + e01 * b, e10 * a + e11 * b
         p = parent[i]
         up0[p] *= to0[i]
@@ -118,6 +127,7 @@ def beliefs(parent: list[int], own: list[float], edge: tuple[float, float, float
     all0[0], all1[0] = all0[0] / s, all1[0] / s
     for i in range(1, n):
         p = parent[i]
+        e00, e01, e10, e11 = edges[tie[i]]
         d0, d1 = all0[p] / to0[i], all1[p] / to1[i]  # without what came from this child
         j00, j01, j10, j11 = d0 * e00 * up0[i], d0 * e01 * up1[i], d1 * e10 * up0[i], d1 * e11 * up1[i]
         s = j00 + j01 + j10 + j11
@@ -126,34 +136,34 @@ def beliefs(parent: list[int], own: list[float], edge: tuple[float, float, float
     return all1, pairs
 
 
-def train(labelled: list[str], rounds: int = 60, rate: float = 0.5, decay: float = 0.002) -> tuple[np.ndarray, np.ndarray]:
+def train(labelled: list[str], rounds: int = 120, rate: float = 0.15, decay: float = 0.0002) -> tuple[np.ndarray, np.ndarray]:
     """Feature weights and log pair potentials from pages whose blocks carry ``data-kind="content"``."""
     pages = []
     for source in labelled:
         page = parse(source, "data-kind")
-        pages.append((page.parent, features(page), [int(x == "content") for x in page.labels]))
-    weight, edge = np.zeros(len(FEATURES)), np.zeros(4)
-    moment, spread = np.zeros(len(weight) + 4), np.zeros(len(weight) + 4)
+        seen = features(page)
+        pages.append((page.parent, seen, ties(page, seen), [int(x == "content") for x in page.labels]))
+    n = len(FEATURES)
+    held, moment, spread = np.zeros(n + 4 * TIES), np.zeros(n + 4 * TIES), np.zeros(n + 4 * TIES)
     total = sum(len(p[0]) for p in pages)
     for step in range(1, rounds + 1):
-        g, h = np.zeros(len(weight)), np.zeros(4)
-        factors = tuple(np.exp(edge).tolist())
-        plain = weight.tolist()
-        for parent, seen, label in pages:
-            p, pairs = beliefs(parent, [sum(plain[f] for f in fs) for fs in seen], factors)
+        grad = np.zeros(n + 4 * TIES)
+        edges = [tuple(x) for x in np.exp(held[n:]).reshape(TIES, 4).tolist()]
+        plain = held[:n].tolist()
+        for parent, seen, tie, label in pages:
+            p, pairs = beliefs(parent, [sum(plain[f] for f in fs) for fs in seen], tie, edges)
             for i, fs in enumerate(seen):
-                d = label[i] - p[i]
                 for f in fs:
-                    g[f] += d
+                    grad[f] += label[i] - p[i]
                 if i:
-                    h[2 * label[parent[i]] + label[i]] += 1
-                    h -= pairs[i]
-        grad = np.concatenate([g, h]) / total - decay * np.concatenate([weight, edge])
+                    at = n + 4 * tie[i]
+                    grad[at + 2 * label[parent[i]] + label[i]] += 1
+                    grad[at : at + 4] -= pairs[i]
+        grad = grad / total - decay * held
         moment = 0.9 * moment + 0.1 * grad
         spread = 0.99 * spread + 0.01 * grad * grad
-        move = rate * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
-        weight, edge = weight + move[:-4], edge + move[-4:]
-    return weight, edge
+        held = held + rate * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.99**step)) + 1e-8)
+    return held[:n], held[n:].reshape(TIES, 4)
 
 
 def labelled_pages(number: int = 160, seed: int = 5) -> list[str]:
@@ -195,7 +205,7 @@ def labelled_pages(number: int = 160, seed: int = 5) -> list[str]:
 
     def article() -> str:
         parts = [f"<h1{yes}>{prose(3, 9)}</h1>"] if rng.random() < 0.8 else []
-        for _ in range(rng.choice([1, 1, 2, 4, 8, 14])):
+        for _ in range(rng.choice([0, 1, 1, 1, 2, 4, 8, 14])):
             kind = rng.random()
             if kind < 0.72:
                 parts.append(f"<p{yes}>{rng.choice(['', '<b>', '<i>'])}{prose(1, 120)}" + rng.choice(["</p>", "", "<br>"]))
@@ -226,20 +236,21 @@ def labelled_pages(number: int = 160, seed: int = 5) -> list[str]:
     return pages
 
 
-def main_text(source: str | None, weight: list[float], edge: tuple[float, float, float, float]) -> str:
+def main_text(source: str | None, weight: list[float], edges: list[tuple[float, float, float, float]]) -> str:
     if not source:
         return ""
     page = parse(source)
-    p, _ = beliefs(page.parent, [sum(weight[f] for f in fs) for fs in features(page)], edge)
+    seen = features(page)
+    p, _ = beliefs(page.parent, [sum(weight[f] for f in fs) for fs in seen], ties(page, seen), edges)
     return " ".join(own for b, own in page.pieces if p[b] >= 0.5)
 
 
 def _extractor(model):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, edge = model
+        weight, edges = model
         for batch in batches:
             source = batch.column("html")
-            texts = [main_text(source[i].as_py(), weight, edge) for i in range(len(source))]
+            texts = [main_text(source[i].as_py(), weight, edges) for i in range(len(source))]
             yield batch.set_column(batch.schema.get_field_index("html"), "html", pa.array(texts, pa.string()))
 
     return rows
@@ -247,8 +258,8 @@ def _extractor(model):
 
 def extract(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", labelled: list[str] | None = None) -> DataFrame:
     """Per page row: ``id, url, text``; ``labelled`` are pages to train on instead of the rule-made ones."""
-    weight, edge = train(labelled or labelled_pages())
-    model = (weight.tolist(), tuple(np.exp(edge).tolist()))
+    weight, edges = train(labelled or labelled_pages())
+    model = (weight.tolist(), [tuple(x) for x in np.exp(edges).tolist()])
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     kind = dict(rows.dtypes)
     return rows.mapInArrow(_extractor(model), f"id {kind['id']}, url {kind['url']}, html string").withColumnRenamed("html", "text")

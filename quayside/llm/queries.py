@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontam, mixing, quality, secrets, sharding, topk
+from quayside.llm import decontam, extraction, mixing, quality, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_html_extraction")
+def html_extraction(spark, sf_dir):
+    found = extraction.extract(spark, table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op2_secret_scans")
 def secret_scans(spark, sf_dir):
     import public_tokenizers
