@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontam, mixing, quality, queries, sharding
+from quayside.llm import decontam, jaccard, mixing, quality, queries, sharding
 from quayside.session import scratch_path
 
 
@@ -16,6 +16,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(spark, docs, net)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group linked by five-word shingles at 0.8 or more."""
+    return jaccard.keep_one(spark, docs, length=5, percent=80)
+
+
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window of ten words stands."""
     return decontam.decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -35,6 +40,7 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", quality_stage),
+    ("n-gram jaccard join", near_duplicate_stage),
     ("benchmark decontamination", decontamination_stage),
     ("mixing sources", mixing_stage),
     ("sharding", sharding_stage),

@@ -19,6 +19,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = U(0xD6E8FEB86659FD93)
 #: One slice of a batch has at most this many bytes, or is one document.
 SLICE_BYTES = 1 << 19
+#: And so many documents, so that a document's place in a slice takes 16 bits.
+SLICE_TEXTS = 60_000
 
 
 def _table() -> np.ndarray:
@@ -97,6 +99,7 @@ def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Texts]:
     n, at = len(bounds) - 1, 0
     while at < n:
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
+        end = min(end, at + SLICE_TEXTS)
         own = bounds[at : end + 1]
         yield Texts(data[own[0] : own[-1]], own - own[0], at)
         at = end

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontam, extraction, mixing, quality, secrets, sharding, topk
+from quayside.llm import decontam, extraction, jaccard, mixing, quality, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,32 @@ def benchmark_decontamination(spark, sf_dir):
     )
 
 
+_OP4 = r"""
+with recursive
+docs as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+grams as (
+  select distinct doc_id, gram from (
+    select doc_id, array_to_string(list_slice(w, i + 1, i + least(4, len(w))), ' ') as gram
+    from (select doc_id, w, unnest(range(len(w) - least(4, len(w)) + 1)) as i from docs where len(w) > 0))),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+common as (select gram from grams group by gram having count(*) > 1),
+shared as (select doc_id, gram from grams semi join common using (gram)),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as m from shared a join shared b on a.gram = b.gram and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * m >= 85 * (x.n + y.n - m)),
+edges as (select a, b from links union all select b, a from links),
+reach as (select a as node, a as far from edges union select r.node, e.b from reach r join edges e on r.far = e.a)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(low, doc_id) as component_id
+from docs left join sizes using (doc_id) left join (select node as doc_id, min(far) as low from reach group by node) using (doc_id)
+"""
+
+
+@query("op4_ngram_jaccard_join", _OP4)
+def ngram_jaccard_join(spark, sf_dir):
+    found = jaccard.near_duplicates(spark, table(spark, sf_dir, "documents"), length=4, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query("op5_quality_classifier")
 def quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
