@@ -149,14 +149,13 @@ def runs(value: np.ndarray, length: int) -> np.ndarray:
 
 
 def in_one_document(bounds: np.ndarray, n: int, length: int) -> np.ndarray:
-    """Which of the n run starts keep all their words in one document."""
-    ok = np.ones(max(n, 0), dtype=bool)
+    """Which of the n run starts keep all their words (or bytes) in one document."""
+    crossing = np.zeros(max(n, 0) + 1, dtype=np.int32)
     ends = bounds[1:]
-    for back in range(1, length):
-        at = ends - back
-        ok[at[(at >= 0) & (at < n) & (at >= bounds[:-1])]] = False
-    # a document shorter than a run spoils all its starts above; runs of earlier ones may not reach into it
-    return ok
+    first = np.clip(np.maximum(ends - length + 1, bounds[:-1]), 0, max(n, 0))
+    np.add.at(crossing, first, 1)
+    np.add.at(crossing, np.clip(ends, first, max(n, 0)), -1)
+    return np.cumsum(crossing[:-1]) == 0
 
 
 def owner(bounds: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontam, extraction, jaccard, mixing, quality, secrets, sharding, topk
+from quayside.llm import decontam, extraction, jaccard, mixing, quality, repeats, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,6 +150,15 @@ def sharded(spark, sf_dir):
     )
 
 
+@query("op9_suffix_array_dedup")
+def suffix_array_dedup(spark, sf_dir):
+    cut = repeats.deduplicate(spark, table(spark, sf_dir, "documents"))
+    n = F.aggregate("removed", F.lit(0).cast("bigint"), lambda t, s: t + s["last"] - s["first"])
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_bytes", n.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 #: Weights of the trial's tree: sources in four domains, languages in each; all sources of a language weigh the same.
 WEIGHTS = {"domain": {"d0": 40, "d1": 30, "d2": 20, "d3": 10}, "lang": {"en": 55, "de": 20, "fr": 15, "es": 10}}
 
