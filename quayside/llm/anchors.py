@@ -33,24 +33,26 @@ def window_minima(value: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[window - 1 : window - 1 + n])
 
 
+def minima(value: np.ndarray, ok: np.ndarray, window: int) -> np.ndarray:
+    """Places whose value is the least of some ``window`` neighbours; ``ok`` says which windows count. Ties are all taken."""
+    low = np.where(ok, window_minima(value, window), np.uint64(0))
+    # a place is taken if its value is the largest of the minima of the windows that hold it
+    edge = np.zeros(window - 1, np.uint64)
+    most = ~window_minima(~np.concatenate([edge, low, edge]), window)
+    return np.flatnonzero(value == most)
+
+
 def anchors(texts: H.Texts, total: np.ndarray, seed: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (in the slice) and hashes of the ``seed``-byte strings that are least among ``window`` neighbours.
 
     Every string of seed + window - 1 bytes of a document holds one at least, and where it stands depends on
-    that string alone. Equal neighbours are all taken. Shorter documents have none.
+    that string alone. Shorter documents have none.
     """
     n = len(texts.data) - seed + 1
     if n < window:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    up, down = H.powers(n)
-    value = (total[seed : seed + n] - total[:n]) * down
-    value = H.mixed(value)
-    low = window_minima(value, window)
+    _, down = H.powers(n)
+    value = H.mixed((total[seed : seed + n] - total[:n]) * down)
     # a window that reaches over a document's end gives no anchor
-    span = seed + window - 1
-    ok = H.in_one_document(texts.bounds, len(low), span)
-    # a place is an anchor if its value is the least of some window that holds it: the largest of these windows' minima
-    low = np.where(ok, low, np.uint64(0))
-    most = ~window_minima(~np.concatenate([np.zeros(window - 1, np.uint64), low, np.zeros(window - 1, np.uint64)]), window)
-    place = np.flatnonzero(value == most)
+    place = minima(value, H.in_one_document(texts.bounds, n - window + 1, seed + window - 1), window)
     return place, value[place]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontam, extraction, jaccard, mixing, quality, repeats, secrets, sharding, topk
+from quayside.llm import chains, decontam, extraction, jaccard, mixing, quality, repeats, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,6 +141,11 @@ def exact_top_k(spark, sf_dir):
     return topk.top_k(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query("op7_substring_dedup")
+def substring_dedup(spark, sf_dir):
+    return chains.passages(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op8_sharding")
 def sharded(spark, sf_dir):
     placed = sharding.shard(spark, table(spark, sf_dir, "documents"), shards=24)
