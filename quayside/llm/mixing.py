@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.llm.components import stored
+
 _NULL = "∅"
 
 
@@ -75,18 +77,21 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     piece_rows: int = 20_000,
+    small_tree: int = 20_000,
 ) -> DataFrame:
     """The chosen rows of ``documents``, once per epoch, with ``mix_epoch`` (from 1) and ``mix_tokens`` added.
 
     ``levels`` names the tree's levels and how they are read from a row, ``weights`` gives whole-number weights
-    by level and value, ``total`` the budget as an expression of ``held``, the tokens of all documents.
+    by level and value, ``total`` the budget as an expression of ``held``, the tokens of all documents. A tree of up
+    to ``small_tree`` leaves is broadcast to the documents, a larger one is joined by its leaves.
     """
     names = [f"__l{i}" for i in range(len(levels))]
     keyed = documents.withColumns(
         {n: F.coalesce(c.cast("string"), F.lit(_NULL)) for n, c in zip(names, levels.values())} | {"mix_tokens": tokens(F.col(text_col))}
     )
     by_name = {n: weights.get(k, {}) for n, k in zip(names, levels)}
-    slim = keyed.select(*names, F.col(id_col).cast("string").alias("id"), "mix_tokens")
+    # the texts are read twice in all: here to count tokens, and when the chosen rows are taken
+    slim = stored(spark, keyed.select(*names, F.col(id_col).cast("string").alias("id"), "mix_tokens"), "mix-rows")
     leaves = slim.groupBy(*names).agg(F.sum("mix_tokens").alias("held"), F.count(F.lit(1)).alias("rows"))
     plan = (
         budgets(leaves, names, by_name, total, max_epochs)
@@ -94,6 +99,8 @@ def mix(
         .withColumn("left", F.col("budget") - F.col("whole") * F.col("held"))
         .withColumn("pieces", F.ceil(F.col("rows") / piece_rows))
     )
+    plan = stored(spark, plan, "mix-plan")
+    spread = F.broadcast if plan.count() <= small_tree else (lambda table: table)
 
     def place(row_id: Column) -> Column:
         """Seeded place of a document in the epoch that its leaf takes in part."""
@@ -102,7 +109,7 @@ def mix(
     def piece(at: Column) -> Column:
         return F.floor(F.conv(F.substring(at, 1, 8), 16, 10).cast("bigint") * F.col("pieces") / F.lit(1 << 32))
 
-    rows = slim.join(plan, names).select(*names, "left", "mix_tokens", place(F.col("id")).alias("place"), "pieces")
+    rows = slim.join(spread(plan), names).select(*names, "left", "mix_tokens", place(F.col("id")).alias("place"), "pieces")
     rows = rows.withColumn("piece", piece(F.col("place")))
     per_leaf = Window.partitionBy(*names).orderBy("piece")
     sums = rows.groupBy(*names, "piece").agg(F.sum("mix_tokens").alias("own"))
@@ -115,8 +122,8 @@ def mix(
         .groupBy(*names)
         .agg(F.max("place").alias("cut"))
     )
-    chosen = plan.join(cuts, names, "left").select(*names, "whole", "cut")
-    taken = keyed.join(chosen, names)
+    chosen = stored(spark, plan.join(cuts, names, "left").select(*names, "whole", "cut"), "mix-cuts")
+    taken = keyed.join(spread(chosen), names)
     copies = F.col("whole") + F.when(place(F.col(id_col)) <= F.col("cut"), 1).otherwise(0)
     return (
         taken.withColumn("__copies", copies)
