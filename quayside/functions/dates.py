@@ -3,6 +3,7 @@ depends on the session's time zone."""
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
@@ -13,6 +14,7 @@ from quayside.functions.text import trim_all
 
 # Shape of the accepted text, and of a text that names its offset from UTC.
 _ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+_DIGITS = r"^\s*[+-]?\d{4}"  # anything else is no date, and a failing cast costs an exception
 _ZONED = r":\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})\s*$"
 
 
@@ -23,8 +25,8 @@ def utc_clock(text: Column) -> Column:
     minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")
     offset = F.when(zone == "Z", 0).when(zone.startswith("-"), -minutes).otherwise(minutes)
     # the offset is worked out only for text that has one
-    return F.when(text.rlike(_ZONED), F.timestamp_add("MINUTE", -offset, clock)).otherwise(
-        text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(_ZONED), F.timestamp_add("MINUTE", -offset, clock)).when(
+        text.rlike(_DIGITS), text.try_cast("timestamp_ntz")
     )
 
 
@@ -83,15 +85,11 @@ def iso_text(c: Column, dtype: T.DataType | None = None) -> Column:
     return F.when(fraction == "", seconds).otherwise(F.concat(seconds, F.lit("."), F.rpad(fraction, 6, "0")))
 
 
-def as_day(value: date | datetime | str | None) -> datetime | None:
-    """A window bound as a datetime; text must be ``YYYY-MM-DD``."""
-    if value is None or isinstance(value, datetime):
-        return value
-    if isinstance(value, date):
-        return datetime(value.year, value.month, value.day)
-    if isinstance(value, str):
-        return datetime.strptime(value, "%Y-%m-%d")
-    raise ValueError(f"not a date: {value!r}")
+def wall_time(value: date | datetime | str) -> datetime:
+    """A window bound as a wall clock time, through its ISO form; a time of day only from a datetime."""
+    if isinstance(value, str) and not re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+        raise ValueError(f"not a day: {value!r}")
+    return datetime.fromisoformat(value if isinstance(value, str) else value.isoformat())
 
 
 def ntz(value: datetime) -> Column:
@@ -109,12 +107,11 @@ def bound(value: datetime, dtype: T.DataType) -> Column:
     return ntz(value)
 
 
-def resolve_run_date(explicit: str | None, today: date, days_back: int = 0) -> date:
-    """The explicit ``yyyy-MM-dd``, or ``days_back`` days before today; a bad one falls back too."""
-    text = (explicit or "").strip()
-    if text:
-        try:
-            return datetime.strptime(text, "%Y-%m-%d").date()
-        except ValueError:
-            return today
-    return today - timedelta(days=days_back)
+def run_day(explicit: str | None, run_date: date, days_back: int = 0) -> Column:
+    """The folder day of a run: the day it was given, else one ``days_back`` before the run.
+
+    Blank text counts as not given; text that is no day gives the day of the run itself.
+    """
+    given = F.lit(explicit).cast("string")
+    earlier = F.lit((run_date - timedelta(days=days_back)).isoformat()).cast("date")
+    return F.when(trim_all(given) != "", lenient_day(given, run_date)).otherwise(earlier)

@@ -133,7 +133,8 @@ def infer_types(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFr
         c = _bare(field.name)
         if field.name in types:
             rule = rules.get(types[field.name])
-            c = rule(c) if rule else F.when(F.lower(c) != "nan", c)
+            # the word "nan" is a missing number; in a text column it is a word
+            c = rule(c) if rule else c
         elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
             c = F.when(~F.isnan(c), c)
         elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
@@ -157,6 +158,8 @@ def _typed(c: Column, source: T.DataType, warehouse_type: str, strict: bool) ->
             return known
         wrong = F.raise_error(F.concat(F.lit("not a boolean: "), c)).cast("boolean")
         return F.when(c.isNull() | known.isNotNull(), known).otherwise(wrong)
+    if spark_type == "bigint" and isinstance(source, T.StringType) and not strict:
+        return to_integer(c)
     if spark_type == "timestamp" and isinstance(source, T.StringType):
         c = F.coalesce(utc_instant(c), c) if strict else utc_instant(c)
     return c.cast(spark_type) if strict else c.try_cast(spark_type)
@@ -168,16 +171,18 @@ def typed_projection(
     dialect: str,
     partition_column: str | None = None,
     strict: bool = False,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """The select list for a source table's catalogue, audit columns last.
 
     Unmapped types stay text; a precision in the type name, as in ``timestamp(6)``, is ignored. With a
     ``partition_column`` its day comes first as ``DT`` and a source column of that name is left out.
-    ``strict`` fails on a value that does not fit, the default gives null.
+    ``strict`` fails on a value that does not fit, the default gives null; with an ``Observation`` their number is
+    counted as ``rejected``, and the rows as ``rows``, in the pass that writes.
     """
     type_map = DIALECTS[dialect]
     fields = {f.name.lower(): f.dataType for f in df.schema}
-    columns = []
+    columns, lost = [], F.count_if(F.lit(False))
     if partition_column:
         columns.append(partition_day(_bare(partition_column), strict).alias("DT"))
     for name, source_type in _catalogue_rows(catalogue):
@@ -186,9 +191,12 @@ def typed_projection(
         bare_type = " ".join(source_type.lower().replace("(", " (").split())
         kept = [w for w in bare_type.split() if not (w.startswith("(") or w.endswith(")"))]
         warehouse_type = type_map.get(" ".join(kept), "STRING")
-        columns.append(
-            _typed(_bare(name), fields[name.lower()], warehouse_type, strict).alias(name.upper())
-        )
+        typed = _typed(_bare(name), fields[name.lower()], warehouse_type, strict)
+        columns.append(typed.alias(name.upper()))
+        if warehouse_type != "STRING":
+            lost = lost + F.count_if(_bare(name).isNotNull() & typed.isNull())
+    if rejects is not None:
+        df = df.observe(rejects, F.count(F.lit(1)).alias("rows"), lost.alias("rejected"))
     ingested = _bare("DT_INGESTAO")
     if dialect == "sqlserver":
         ingested = ingested.cast("timestamp_ntz")

@@ -40,10 +40,16 @@ def latest_by_key(
     return newest if deleted is None else newest.filter(F.col(deleted) == F.lit(deleted_value))
 
 
-def ordered_distinct(df: DataFrame, keys: Sequence[str], order: str, cap: int | None = None) -> DataFrame:
-    """Distinct keys in the order they were first seen, the first ``cap`` of them."""
-    seen = df.groupBy(*keys).agg(F.min(order).alias("_seen")).orderBy("_seen", *keys)
-    return (seen if cap is None else seen.limit(cap)).drop("_seen")
+def ordered_distinct(
+    df: DataFrame, keys: Sequence[str], order: str, cap: int | None = None, seen: str | None = None
+) -> DataFrame:
+    """Distinct keys in the order they were first seen, on request with that place as ``seen``.
+
+    A caller that wants only the first ``cap`` says so; nothing is cut otherwise.
+    """
+    first = df.groupBy(*keys).agg(F.min(order).alias("_seen")).orderBy("_seen", *keys)
+    first = first if cap is None else first.limit(cap)
+    return first.withColumnRenamed("_seen", seen) if seen else first.drop("_seen")
 
 
 def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
@@ -55,7 +61,9 @@ def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -
     spark = df.sparkSession
     path = scratch_path(spark, "positions")
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+    # rows that tie are told apart by their content, so that one value of the order does not fill one task
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    sliced = df.repartitionByRange(slices, *order, tie).sortWithinPartitions(*order, tie)
     sliced.write.option("maxRecordsPerFile", 0).parquet(path)
     part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
     rows = spark.read.schema(df.schema).parquet(path).withColumns(

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.dates import as_day, bound, coerce_datetime, iso_day
+from quayside import storage
+from quayside.functions.dates import bound, coerce_datetime, iso_day, wall_time
 from quayside.operators.dedup import ordered_distinct
 
 # Fixed value: where an extract starts when its target holds nothing yet.
@@ -35,9 +36,9 @@ def incremental_window(
     value = F.col(f"`{field}`") if is_time else coerce_datetime(F.col(f"`{field}`"))
     kept = df
     if start is not None:
-        kept = kept.filter(value >= bound(as_day(start), dtype))
+        kept = kept.filter(value >= bound(wall_time(start), dtype))
     if end is not None:
-        kept = kept.filter(value < bound(as_day(end), dtype))
+        kept = kept.filter(value < bound(wall_time(end), dtype))
     if deleted:
         kept = kept.filter(~F.col(f"`{deleted}`"))
     return kept
@@ -54,27 +55,49 @@ def start_of_extract(
 ) -> date:
     """Where an extract begins: the explicit day, else the target's watermark, else the first day.
 
-    A target that is missing or has no such column also starts at the first day.
+    A target partitioned by the column is only listed. One that is missing or has no such column also starts
+    at the first day.
     """
     if explicit:
-        return as_day(explicit).date()
+        return wall_time(explicit).date()
+    days = [d for v in storage.partition_values(spark, path, column) if (d := _day(v))]
+    if days:
+        return max(days) - timedelta(days=1)
     try:
         return high_watermark(spark.read.parquet(path), column).first()["watermark"]
     except AnalysisException:
         return FIRST_DAY
 
 
+def _day(text: str) -> date | None:
+    try:
+        return date.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+def newest_folder(spark: SparkSession, uri: str, column: str = "dt") -> date | None:
+    """The newest day among the partition folders, from their listing; None where they are not all days."""
+    days = [_day(v) for v in storage.partition_values(spark, uri, column)]
+    return max(days) if days and all(days) else None
+
+
 def latest_snapshot(
-    df: DataFrame, day: str = "dt", ingested: str = "dt_ingestao", within_latest_dt: bool = False
+    df: DataFrame,
+    day: str = "dt",
+    ingested: str = "dt_ingestao",
+    within_latest_dt: bool = False,
+    newest_day: date | None = None,
 ) -> DataFrame:
     """Rows of the newest day that also carry the newest ingestion time.
 
     Both maxima are scalar subqueries: the one on the partition column prunes partitions at run time.
     They are taken over the whole table, so a late re-run of an older day leaves nothing;
-    ``within_latest_dt`` takes the newest ingestion time of the newest day instead.
+    ``within_latest_dt`` takes the newest ingestion time of the newest day instead. A ``newest_day`` known from
+    the folders is a literal: with both, one day's files are all that is opened.
     """
-    newest_day = df.agg(F.max(day)).scalar()
-    latest = df.where(F.col(day) == newest_day)
+    newest = df.agg(F.max(day)).scalar() if newest_day is None else F.lit(newest_day.isoformat()).cast(df.schema[day].dataType)
+    latest = df.where(F.col(day) == newest)
     pool = latest if within_latest_dt else df
     newest_load = pool.agg(F.max(F.col(ingested).cast("timestamp_ntz"))).scalar()
     return latest.where(F.col(ingested).cast("timestamp_ntz") == newest_load)
@@ -88,9 +111,9 @@ def eligible_cycles(
     end_field: str = "cycleEndDate",
     offset_days: int = 2,
     keep_days: int = 45,
-    cap: int | None = 5000,
+    cap: int | None = None,
 ) -> DataFrame:
-    """Distinct keys of cycles that ended recently enough, first seen first, at most ``cap``."""
+    """Distinct keys of cycles that ended recently enough, first seen first; a caller may want only ``cap`` of them."""
     oldest = run_date - timedelta(days=offset_days + keep_days)
     recent = cycles.filter(
         F.col(key).isNotNull()

@@ -10,33 +10,15 @@ from pyspark.sql import functions as F
 from quayside.operators.sets import union_drifting
 
 
-def small_or_plain(df: DataFrame, most: int = 10_000) -> DataFrame:
-    """A side of a join, broadcast when it is seen to be small, as it is when not.
-
-    Spark sizes a filtered or aggregated side by the data it came from and would shuffle both sides.
-    At most ``most`` rows and one more are looked at; they stand in for the side when that is all.
-    """
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def facts_for_keys(facts: DataFrame, keys: DataFrame, key: str, capped: bool = True) -> DataFrame:
-    """Facts of the given keys only.
-
-    A key list that was capped (5000 cycles at most) is broadcast, so the facts are not shuffled and
-    a hot key stays spread over its tasks. Without a cap Spark sizes the list and picks the join; a
-    sort-merge join of a hot key is split by adaptive execution.
-    """
-    wanted = keys.select(F.col(key)).distinct()
-    return facts.join(F.broadcast(wanted) if capped else wanted, key, "left_semi")
+def facts_for_keys(facts: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Facts of the given keys only. Spark sizes the list and picks the join; adaptive execution splits a hot key."""
+    return facts.join(keys.select(F.col(key)).distinct(), key, "left_semi")
 
 
-def facts_of_kinds(kinds: dict[str, DataFrame], keys: DataFrame, key: str, capped: bool = True) -> DataFrame:
+def facts_of_kinds(kinds: dict[str, DataFrame], keys: DataFrame, key: str) -> DataFrame:
     """Several fact tables (answers, ratings), each cut to the keys, appended under their kind."""
     return union_drifting(
-        facts_for_keys(facts, keys, key, capped).withColumn("fact", F.lit(kind))
+        facts_for_keys(facts, keys, key).withColumn("fact", F.lit(kind))
         for kind, facts in kinds.items()
     )
 
@@ -57,4 +39,6 @@ def lookup(
         matched = joined.filter(F.coalesce("_found", missing))
     else:
         matched = joined.filter("_found")
-    return matched.drop("_found"), rows.join(table.select(*on), list(on), "left_anti")
+    # both come from the one join
+    rest = joined.filter(F.col("_found").isNull()).select(rows.columns)
+    return matched.drop("_found"), rest

@@ -132,14 +132,18 @@ def normalize_scalars(df: DataFrame) -> DataFrame:
 
 
 def raw_fallback(df: DataFrame, element: str, schema: str) -> DataFrame:
-    """Open JSON elements into columns; an element that is no record is kept whole in ``_raw``.
+    """Open JSON elements into columns; one that does not fit them whole is also kept as text in ``_raw``.
 
-    Elements are parsed one by one, so a bad one does not spoil the document it came in.
+    That is an element that is no record, one with fields that are not listed at any depth, or with a value
+    of another type than its column's. Elements are parsed one by one, so a bad one does not spoil the document
+    it came in.
     """
     text = F.col(element)
     is_record = F.ltrim(text).startswith("{")
     record = F.when(is_record, F.from_json(text, schema))
-    raw = F.when(~is_record, text)
+    # the columns written as JSON again, against the text; both through a variant, which orders the fields
+    again = F.to_json(F.try_parse_json(F.to_json(record)))
+    raw = F.when(~is_record | ~again.eqNullSafe(F.to_json(F.try_parse_json(text))), text)
     opened = df.withColumns({"_record": record, "_raw": raw}).drop(element)
     keep = [c for c in opened.columns if c not in ("_record", "_raw")]
     return opened.select(*keep, "_record.*", "_raw")

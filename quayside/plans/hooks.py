@@ -15,7 +15,7 @@ from quayside.operators.dedup import dedup_keep_first
 Hook = Callable[[DataFrame, str | None], DataFrame]
 
 # Where a row stood in its source, kept until the common chain so that hooks can rely on an order.
-ORDER_COLUMNS = ("_file", "_row")
+ORDER_COLUMNS = ("_file", "_split", "_row")
 
 
 def keep_first(*keys: str) -> Hook:

@@ -6,20 +6,23 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside import storage
-from quayside.functions.dates import coerce_datetime, iso_text
+from quayside.functions.dates import coerce_datetime, iso_text, parse_iso, run_day
 from quayside.functions.names import sanitize_names
 from quayside.functions.text import BRAND_RULES, with_entity_name
+from quayside.operators.casting import cast_to_schema
 from quayside.operators.audit import landing_schema, run_id_of, wall_clock, with_ingestion_time
 from quayside.operators.configs import Names, active_config
 from quayside.operators.filters import eligible_cycles, lookback_window, start_of_extract
 from quayside.operators.lookups import facts_for_keys
 from quayside.operators.nested import OFFER_PAGE_SCHEMA, flatten_offers, flatten_programs, normalize_scalars, raw_fallback
-from quayside.plans.publish import MAX_RECORDS, append_run, publish_csv_overwrite, publish_dated
-from quayside.plans.runs import REPORT_SCHEMA, counted, run_all, settings_of
+from quayside.plans.publish import MAX_RECORDS, append_run, period_folder, publish_csv_overwrite, publish_dated, zone_path
+from quayside.plans.runs import REPORT_SCHEMA, counted, observed, run_all, settings_of
+from quayside.sources.delimited import scan_delimited, scan_gz_pipe
 from quayside.sources.documents import page_items, scan_envelope, scan_mixed_folder
 from quayside.sources.tables import scan_collection, scan_free_query
 
@@ -91,10 +94,52 @@ def land_drop(spark: SparkSession, prefix: str, run_date: date, target: str, run
         rows = scan_mixed_folder(spark, folder)
     except ValueError:  # nothing in it that can be read
         return 0
-    landed = landing_schema(rows.drop("source_file"), run_ts)
+    landed = landing_schema(rows, run_ts)
     return counted(landed, lambda df: publish_dated(df, target, run_date, "parquet"))
 
 
+def land_gz(
+    spark: SparkSession,
+    transient: str,
+    schema: Mapping[str, str],
+    run_ts: datetime,
+    explicit: str | None = None,
+    days_back: int = 3,
+) -> tuple[int, int]:
+    """A day's gzip files of the transient zone, typed, into the same folder of the landing zone.
+
+    The day is the one asked for, else ``days_back`` days before the run. Gives rows and rejected values; a day
+    without a folder gives none. The landing folder's earlier content is replaced.
+    """
+    day, target = spark.range(1).select(
+        run_day(explicit, run_ts.date(), days_back), zone_path(F.lit(transient.rstrip("/")))
+    ).first()
+    folder = f"{transient.rstrip('/')}/dt={day.isoformat()}"
+    if not storage.exists(spark, folder):
+        return 0, 0
+    seen = Observation()
+    typed = cast_to_schema(scan_gz_pipe(spark, folder), schema, seen)
+    rows = counted(typed, lambda df: publish_dated(df, target, day, "parquet"))
+    return rows, sum(n for c, n in observed(seen).items() if c in schema)
+
+
+def land_period(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    run_ts: datetime,
+    sep: str = ";",
+    encoding: str = "latin1",
+    marks: Mapping[str, str] | None = None,
+) -> int:
+    """A text file of fixed layout into the folder of its period, which the mark in its name tells; its day is replaced."""
+    period = spark.range(1).select(period_folder(F.lit(path.rstrip("/").rsplit("/", 1)[-1]), marks)).first()[0]
+    if period is None:
+        raise ValueError(f"no period in the name {path!r}")
+    rows = landing_schema(scan_delimited(spark, path, sep=sep, encoding=encoding), run_ts)
+    return counted(rows, lambda df: publish_dated(df, f"{target.rstrip('/')}/{period}", wall_clock(run_ts).date(), "parquet"))
+
+
 def land_products(products: DataFrame, path: str, run_ts: datetime) -> int:
     """Product programmes, flat, as CSV at a fixed path."""
     rows = with_ingestion_time(flatten_programs(products), run_ts, name="dt_ingestao")
@@ -130,26 +175,30 @@ def land_survey(
     order: str,
     updated: str = "updatedAt",
     cycle_key: str = "cycleId",
-    cap: int | None = 5000,
 ) -> DataFrame:
     """Dimensions whole, facts of the recent cycles only, each entity below its own folder.
 
     ``documents`` holds API answers (``body``) per entity and ``schemas`` the fields of their records.
     ``facts`` names the fact entities and the field that holds their cycle; they are also cut to the
-    look-back period. ``order`` is the cycle field that says which cycle came first.
+    look-back period. ``order`` is the cycle field that says which cycle came first. Times are read as text and
+    brought to UTC wall clocks, as the API writes them with and without an offset.
     """
     run_date = run_ts.date()
 
     def opened(entity: str) -> DataFrame:
-        return raw_fallback(scan_envelope(documents[entity]), "element", schemas[entity])
+        fields = T.StructType.fromDDL(schemas[entity])
+        moments = [f.name for f in fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+        as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in moments else f.dataType) for f in fields])
+        records = raw_fallback(scan_envelope(documents[entity]), "element", as_text)
+        return records.withColumns({name: parse_iso(F.col(f"`{name}`")) for name in moments})
 
-    cycles = eligible_cycles(opened("cycle"), run_date, order, cap=cap).withColumnRenamed("id", cycle_key)
+    cycles = eligible_cycles(opened("cycle"), run_date, order).withColumnRenamed("id", cycle_key)
     jobs = []
     for entity in documents:
         records = opened(entity)
         if entity in facts:
             recent = lookback_window(records, updated, run_date)
             keyed = recent.withColumn(cycle_key, F.col(facts[entity]).cast("string"))
-            records = facts_for_keys(keyed, cycles, cycle_key, capped=cap is not None)
+            records = facts_for_keys(keyed, cycles, cycle_key)
         jobs.append((entity, entity, lambda e=entity, r=records: land_records(r, f"{root.rstrip('/')}/{e}", run_ts)))
     return spark.createDataFrame(run_all(jobs, 3), REPORT_SCHEMA)

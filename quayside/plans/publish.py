@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import storage
-from quayside.functions.dates import as_day
+from quayside.functions.dates import wall_time
 
 # Fixed value: rows per file of the bounded writer. The other sinks let the data size decide (0).
 MAX_RECORDS = 200_000
@@ -39,22 +39,36 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+def even(df: DataFrame) -> DataFrame:
+    """Files of like size, whatever the source's splits were: what one gzip file gave is not one file again."""
+    return df.hint("rebalance")
+
+
+def _swapped(df: DataFrame, path: str, file_format: str) -> None:
+    """Write beside the old table and put it in its place when all is written."""
+    spark, base = df.sparkSession, path.rstrip("/")
+    staging = f"{base}-next-{uuid.uuid4().hex}"
+    _writer(even(df), file_format).save(staging)
+    storage.delete(spark, base)
+    storage.rename(spark, staging, base)
+
+
 def publish_csv_overwrite(df: DataFrame, path: str) -> None:
-    """The whole table as CSV at a fixed path."""
-    _writer(df, "csv").mode("overwrite").save(path)
+    """The whole table as CSV at a fixed path; a failing job leaves the old one."""
+    _swapped(df, path, "csv")
 
 
 def publish_append(df: DataFrame, path: str, file_format: str = "csv") -> None:
     """More files beside those that are there."""
-    _writer(df, file_format).mode("append").save(path)
+    _writer(even(df), file_format).mode("append").save(path)
 
 
 def publish_dated(df: DataFrame, path: str, run_date: date, file_format: str = "csv") -> None:
     """The run's rows in the folder of its day; the day's earlier drop is replaced.
 
-    The folder is the target of the write: with one value there is nothing to sort or to rebalance.
+    The folder is the target of the write: with one value there is nothing to sort.
     """
-    _writer(df, file_format).mode("overwrite").save(f"{path.rstrip('/')}/dt={run_date.isoformat()}")
+    _writer(even(df), file_format).mode("overwrite").save(f"{path.rstrip('/')}/dt={run_date.isoformat()}")
 
 
 def replace_partition(df: DataFrame, path: str, *columns: str, file_format: str = "parquet") -> None:
@@ -65,7 +79,7 @@ def replace_partition(df: DataFrame, path: str, *columns: str, file_format: str
 
 def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
     """Snappy parquet in files of at most ``max_records`` rows, nested columns kept."""
-    _writer(df, "parquet", max(max_records, 0)).mode("overwrite").save(path)
+    _writer(even(df), "parquet", max(max_records, 0)).mode("overwrite").save(path)
 
 
 def append_run(df: DataFrame, path: str, run_date: date, run_id: str, max_records: int = 0) -> None:
@@ -74,16 +88,15 @@ def append_run(df: DataFrame, path: str, run_date: date, run_id: str, max_record
     Only the run's own folder is written, so a retried run does not add its rows twice.
     """
     folder = f"{path.rstrip('/')}/dt={run_date.isoformat()}/id_execucao={run_id}"
-    _writer(df.drop("id_execucao"), "parquet", max_records).mode("overwrite").save(folder)
+    _writer(even(df.drop("id_execucao")), "parquet", max_records).mode("overwrite").save(folder)
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """The whole table anew. The rows must not come from ``path`` itself."""
-    _writer(df, "parquet").mode("overwrite").save(path)
+    """The whole table anew; a failing job leaves the old one."""
+    _swapped(df, path, "parquet")
 
 
-def _day_of(folder: str) -> date | None:
-    value = folder.partition("=")[2]
+def _day_of(value: str) -> date | None:
     try:
         return date.fromisoformat(value)
     except ValueError:
@@ -100,26 +113,24 @@ def merge_range(
 ) -> None:
     """Delete the target's days from ``start`` to ``end``, both included, and add the snapshot.
 
-    ``DT`` is the partition, so no target row is read: the snapshot is written to a hidden folder
-    beside it, then the days of the range are dropped and the new folders moved in. Days the snapshot
-    lacks vanish; snapshot rows outside the range are added to what is there. A job that fails while
-    writing leaves the target as it was. Readers are not isolated during the short swap.
+    ``DT`` is the partition, so no target row is read. Rows of the range replace their days in one write, rows
+    outside it are added to what is there, and days of the range that the snapshot lacks are dropped: the
+    driver moves no file. Until the last step readers see the old and the new days side by side; a run that
+    fails between the steps must run again.
     """
-    low, high = as_day(start).date(), as_day(end).date()
+    low, high = wall_time(start).date(), wall_time(end).date()
     base = path.rstrip("/")
-    staging = f"{base}/_merge-{uuid.uuid4().hex}"
-    _writer(spread_by(snapshot, column), "parquet").partitionBy(column).save(staging)
-    for folder in storage.child_folders(spark, base):
-        day = _day_of(folder)
-        if folder.lower().startswith(f"{column.lower()}=") and day and low <= day <= high:
-            storage.delete(spark, f"{base}/{folder}")
-    for folder in storage.child_folders(spark, staging):
-        if not storage.exists(spark, f"{base}/{folder}"):
-            storage.rename(spark, f"{staging}/{folder}", f"{base}/{folder}")
-            continue
-        for name in storage.child_files(spark, f"{staging}/{folder}"):
-            storage.rename(spark, f"{staging}/{folder}/{name}", f"{base}/{folder}/{name}")
-    storage.delete(spark, staging)
+    # one row per day: as many as there will be folders
+    days = {r[0] for r in snapshot.select(F.col(column).cast("date")).distinct().collect()}
+    within = F.col(column).cast("date").between(F.lit(low.isoformat()).cast("date"), F.lit(high.isoformat()).cast("date"))
+    if any(d is not None and low <= d <= high for d in days):
+        replace_partition(snapshot.filter(within), base, column)
+    if any(d is None or not low <= d <= high for d in days):
+        _writer(spread_by(snapshot.filter(~within | F.col(column).isNull()), column), "parquet").mode("append").partitionBy(column).save(base)
+    for value in storage.partition_values(spark, base, column):
+        day = _day_of(value)
+        if day and low <= day <= high and day not in days:
+            storage.delete(spark, f"{base}/{column}={value}")
 
 
 def publish_version(df: DataFrame, path: str) -> str:

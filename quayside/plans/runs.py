@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quayside.operators.audit import wall_clock
 from quayside.operators.casting import partition_source, project_except_dt, typed_projection
 from quayside.operators.configs import active_config, mark_processed, pending_config
-from quayside.operators.filters import latest_snapshot
+from quayside.operators.filters import latest_snapshot, newest_folder
 from quayside.plans.hooks import HOOKS, Hook, common_chain, custom_transform
 from quayside.plans.publish import (
     full_refresh,
@@ -28,22 +28,27 @@ from quayside.sources.delimited import scan_delimited
 from quayside.sources.tables import external_table, scan_parquet
 from quayside.sources.workbook import sheet_table, workbook_files
 
-REPORT_SCHEMA = "source string, target string, status string, rows long, message string"
+REPORT_SCHEMA = "source string, target string, status string, rows long, message string, rejected long"
 
 
 def settings_of(row: Row) -> dict:
     return {k.lower(): v for k, v in row.asDict().items()}
 
 
-def _attempt(source: str, target: str, job: Callable[[], int]) -> tuple:
-    """One report row for one job, whatever happens in it."""
+Job = Callable[[], "int | tuple[int, int]"]
+
+
+def _attempt(source: str, target: str, job: Job) -> tuple:
+    """One report row for one job, whatever happens in it. A job gives its rows, or rows and rejected values."""
     try:
-        return (source, target, "ok", job(), None)
+        done = job()
     except Exception as error:  # a bad row must not stop the run
-        return (source, target, "failed", 0, str(error).splitlines()[0][:500])
+        return (source, target, "failed", 0, f"{type(error).__name__}: {error}", None)
+    rows, rejected = done if isinstance(done, tuple) else (done, None)
+    return (source, target, "ok", rows, None, rejected)
 
 
-def run_all(jobs: Iterable[tuple[str, str, Callable[[], int]]], workers: int) -> list[tuple]:
+def run_all(jobs: Iterable[tuple[str, str, Job]], workers: int) -> list[tuple]:
     """Submit jobs from a few threads, so that small tables fill the cluster together."""
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(lambda job: _attempt(*job), jobs))
@@ -53,7 +58,17 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and count in one pass."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    return observed(seen).get("rows", 0)
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """What an action has observed; nothing where it ran over no rows, as Spark then drops the plan that counts."""
+    try:
+        return dict(seen.get)
+    except Exception as error:
+        if "metric" in str(error).lower() or isinstance(error, (KeyError, AssertionError)):
+            return {}
+        raise
 
 
 def read_source(spark: SparkSession, cfg: Mapping, root: str) -> DataFrame:
@@ -77,8 +92,9 @@ def read_source(spark: SparkSession, cfg: Mapping, root: str) -> DataFrame:
             header=0 if header in (None, "") else int(header),
             usecols=cfg.get("usecols"),
         )
-        table = _point_decimals(table, decimal)
-        return table.withColumn("_row", F.monotonically_increasing_id())
+        # larger files are read by earlier tasks: the file and its split come before the row
+        place = {"_file": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()}
+        return _point_decimals(table.withColumns(place), decimal)
     if kind == "parquet":
         table = scan_parquet(spark, path)
         where = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
@@ -87,18 +103,14 @@ def read_source(spark: SparkSession, cfg: Mapping, root: str) -> DataFrame:
 
 
 def _point_decimals(df: DataFrame, mark: str) -> DataFrame:
-    """Numbers written with another decimal mark get a point; other text stays as it is."""
-    if mark == ".":
+    """Columns of numbers written with another decimal mark get a point; a column with other text stays as it is."""
+    texts = [c for c, t in df.dtypes if t == "string" and c != "_file"]
+    if mark == "." or not texts:
         return df
     number = rf"^\s*[+-]?\d*[{mark}]?\d+\s*$"
-    fixed = {
-        c: F.when(F.col(f"`{c}`").rlike(number), F.replace(F.col(f"`{c}`"), F.lit(mark), F.lit("."))).otherwise(
-            F.col(f"`{c}`")
-        )
-        for c, t in df.dtypes
-        if t == "string" and c != "_file"
-    }
-    return df.withColumns(fixed)
+    all_numbers = df.agg(*[F.bool_and(F.col(f"`{c}`").rlike(number)).alias(f"c{i}") for i, c in enumerate(texts)]).first()
+    numeric = [c for i, c in enumerate(texts) if all_numbers[f"c{i}"]]
+    return df.withColumns({c: F.replace(F.col(f"`{c}`"), F.lit(mark), F.lit(".")) for c in numeric})
 
 
 def _ingest(spark: SparkSession, cfg: Mapping, source_root: str, target: str, run_ts: datetime, hooks) -> int:
@@ -149,7 +161,7 @@ def run_files(
     report = run_all(jobs, workers)
     for name in names or []:
         if name.strip() and name.strip() not in known:
-            report.append((name.strip(), None, "failed", 0, "no active configuration"))
+            report.append((name.strip(), None, "failed", 0, "no active configuration", None))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -169,19 +181,31 @@ def build_model(
     start: date | str,
     end: date | str,
     file_source: bool = False,
-) -> int:
-    """Latest snapshot of the landed table, typed, merged or refreshed into its bronze table."""
+    strict: bool = False,
+    within_latest_dt: bool = False,
+) -> tuple[int, int]:
+    """Latest snapshot of the landed table, typed, merged or refreshed into its bronze table.
+
+    Gives the rows and the values that did not fit their type. Runs of the landed table may differ in columns.
+    """
+    if not file_source and not catalogue:
+        raise ValueError("no catalogue rows for this table")
     source = cfg.get("source_file_path") if file_source else cfg["source_table_name"]
     uri = f"{landing_root.rstrip('/')}/{source}" if file_source else source_uri(landing_root, source)
-    snapshot = latest_snapshot(external_table(spark, uri))
+    landed = external_table(spark, uri, merge_schema=True)
+    snapshot = latest_snapshot(landed, within_latest_dt=within_latest_dt, newest_day=newest_folder(spark, uri))
+    seen = Observation()
     day_column = partition_source(cfg)
     if file_source:
-        rows = project_except_dt(snapshot, day_column)
+        rows = project_except_dt(snapshot.observe(seen, F.count(F.lit(1)).alias("rows")), day_column)
     else:
-        rows = typed_projection(snapshot, catalogue, dialect, day_column)
+        rows = typed_projection(snapshot, catalogue, dialect, day_column, strict, seen)
     if (cfg["migration_type"] or "").upper() == "INCREMENTAL":
-        return counted(rows, lambda df: merge_range(spark, df, target, start, end))
-    return counted(rows, lambda df: full_refresh(df, target))
+        merge_range(spark, rows, target, start, end)
+    else:
+        full_refresh(rows, target)
+    found = observed(seen)
+    return found.get("rows", 0), found.get("rejected", 0)
 
 
 def build_models(
@@ -197,14 +221,15 @@ def build_models(
     file_source: bool = False,
     config_versions: str | None = None,
     workers: int = 4,
+    strict: bool = False,
 ) -> DataFrame:
     """Build every pending model; those that succeed are flagged in a new configuration version.
 
     ``catalogues`` has ``table_name, column_name, data_type`` with the columns in order.
     """
-    columns: dict[str, list[tuple[str, str]]] = {}
+    columns: dict[str, list[tuple[str, str]]] = {}  # by table name, whatever its case
     for r in catalogues.select("table_name", "column_name", "data_type").collect():
-        columns.setdefault(r["table_name"], []).append((r["column_name"], r["data_type"]))
+        columns.setdefault(r["table_name"].lower(), []).append((r["column_name"], r["data_type"]))
     jobs = []
     for cfg in map(settings_of, pending_config(config, names, file_source).collect()):
         source = cfg.get("source_table_name") or cfg.get("source_file_name") or ""
@@ -215,13 +240,13 @@ def build_models(
                 source,
                 target,
                 lambda cfg=cfg, path=path, source=source: build_model(
-                    spark, cfg, landing_root, path, columns.get(source, []), dialect, start, end, file_source
+                    spark, cfg, landing_root, path, columns.get(source.lower(), []), dialect, start, end, file_source, strict
                 ),
             )
         )
     report = run_all(jobs, workers)
     if config_versions:
-        done = [target for _, target, status, _, _ in report if status == "ok"]
+        done = [row[1] for row in report if row[2] == "ok"]
         publish_version(mark_processed(config, done), config_versions)
     return spark.createDataFrame(report, REPORT_SCHEMA)
 

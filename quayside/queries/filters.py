@@ -92,7 +92,7 @@ def latest_snapshot(spark, sf_dir):
     """select id from (
          select o_custkey::varchar id, min(o_orderkey) seen from orders
          where o_orderkey % 13 <> 0 and o_orderdate::date >= date '2001-07-01' - 47 group by 1
-         order by seen, id limit 5000) order by id""",
+         order by seen, id) order by id""",
 )
 def eligible_cycles(spark, sf_dir):
     return filters.eligible_cycles(_cycles(spark, sf_dir, "o_custkey"), date(2001, 7, 1), "o_orderkey")
@@ -111,12 +111,11 @@ def _cycles(spark, sf_dir, key: str):
 
 
 @query(
-    "ordered_distinct_cap",
-    """select user_id, event_type from (
-         select user_id, event_type, min(event_id) seen from events group by 1, 2 order by seen limit 500)""",
+    "ordered_distinct",
+    "select user_id, event_type, min(event_id) seen from events group by 1, 2",
 )
-def ordered_distinct_cap(spark, sf_dir):
-    return dedup.ordered_distinct(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id", 500)
+def ordered_distinct(spark, sf_dir):
+    return dedup.ordered_distinct(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id", seen="seen")
 
 
 @query(

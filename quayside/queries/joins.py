@@ -15,7 +15,7 @@ from quayside.queries.register import query, table
     "facts_for_keys",
     """with cycles as (
          select o_orderkey id from orders
-         where o_orderkey % 13 <> 0 and o_orderdate::date >= date '2000-07-01' - 47 order by o_orderkey limit 5000)
+         where o_orderkey % 13 <> 0 and o_orderdate::date >= date '2000-07-01' - 47)
        select 'answers' fact, l_orderkey::varchar id, l_partkey as "item", l_quantity as score from lineitem
        where l_returnflag <> 'R' and l_orderkey in (select id from cycles)
        union all

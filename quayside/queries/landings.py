@@ -62,6 +62,7 @@ def collection_run(spark, sf_dir):
     "drop_landing",
     f"""select c_custkey::varchar "key", case when c_custkey % 2 = 0 then c_name end c_name,
                case when c_custkey % 2 = 1 then c_mktsegment end c_mktsegment,
+               case when c_custkey % 2 = 0 then 'json' else 'csv' end source_file,
                '2025-03-10 01:45:30' dt_ingestao, '{RUN_ID}' id_execucao, '2025-03-10' dt from customer""",
 )
 def drop_landing(spark, sf_dir):
@@ -72,7 +73,10 @@ def drop_landing(spark, sf_dir):
     customers.filter(~even).select("c_mktsegment", "key").write.csv(f"{drop}/2025-03-10", header=True, mode="append")
     for _ in range(2):  # a second run of the day replaces the first
         landings.land_drop(spark, drop, date(2025, 3, 10), target, RUN_TS)
-    return external_table(spark, target)
+    rows = external_table(spark, target)
+    # the files' names are made by Spark; what counts is that each row has the one it came from
+    json = F.col("source_file").endswith(".json")
+    return rows.withColumn("source_file", F.when(json, "json").otherwise(F.regexp_extract("source_file", r"([^.]+)$", 1)))
 
 
 @query(
@@ -108,7 +112,7 @@ def offers_landing(spark, sf_dir):
     rows = external_table(spark, path, "csv")
     # the priorities are no names: their words are compared without the case a title gives them
     name = F.col("CONCORRENTE")
-    seller = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substring(name, 2, 100)))
+    seller = F.concat(F.upper(F.left(name, F.lit(1))), F.lower(F.substr(name, F.lit(2))))
     return rows.select(
         "SKU",
         F.when(F.col("DOMAIN") != "", name).otherwise(seller).alias("raw_name"),
@@ -127,12 +131,18 @@ SURVEY_SCHEMAS = {
 
 @query(
     "survey_landing",
-    """with c as (select o_orderkey from orders where o_orderdate::date >= date '2001-07-01' - 47 order by 1 limit 5000)
+    """with c as (select o_orderkey from orders where o_orderdate::date >= date '2001-07-01' - 47)
        select 'cycle' entity, o_orderkey "key", null::bigint part, null::double score, null::varchar raw from orders where o_orderkey % 5 <> 0
        union all
        select 'cycle', null, null, null, 'gone' from orders where o_orderkey % 5 = 0
        union all
-       select 'answers', l_orderkey, l_partkey, l_quantity, null from lineitem
+       select 'answers', l_orderkey, l_partkey, case when l_linenumber <> 5 then l_quantity end,
+              case when l_linenumber in (5, 6) then
+                '{"cycle":' || l_orderkey || ',"updatedAt":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S')
+                || case when l_linenumber % 2 = 0 then 'Z' else '+00:00' end || '","score":'
+                || case when l_linenumber = 5 then '"n/d"' else l_quantity::varchar end || ',"item":{"part":' || l_partkey || '}'
+                || case when l_linenumber = 6 then ',"more":{"flag":"' || l_returnflag || '"}' else '' end || '}' end
+       from lineitem
        where l_shipdate >= timestamp '2001-06-29' and l_shipdate < timestamp '2001-07-06'
          and l_orderkey in (select o_orderkey from c where o_orderkey % 5 <> 0)
        union all
@@ -152,13 +162,17 @@ def survey_landing(spark, sf_dir):
         orders.filter(~good).select(F.lit('{"payload": ["gone"]}').alias("body"))
     )
     lines = table(spark, sf_dir, "lineitem")
-    answers = documents(
-        lines,
-        F.col("l_orderkey").alias("cycle"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("updatedAt"),
-        F.col("l_quantity").alias("score"),
+    moment = F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("l_linenumber") % 2 == 0, "Z").otherwise("+00:00"))
+    fields = [
+        F.col("l_orderkey").alias("cycle"), moment.alias("updatedAt"), F.col("l_quantity").alias("score"),
         F.struct(F.col("l_partkey").alias("part")).alias("item"),
-    )
+    ]
+    # a value of another type in line 5, a field that is not listed in line 6: such records keep their text
+    wrong = F.struct(*fields[:2], F.lit("n/d").alias("score"), fields[3])
+    wider = F.struct(*fields, F.struct(F.col("l_returnflag").alias("flag")).alias("more"))
+    line = F.col("l_linenumber")
+    record = F.when(line == 5, F.to_json(wrong)).when(line == 6, F.to_json(wider)).otherwise(F.to_json(F.struct(*fields)))
+    answers = lines.select(F.concat(F.lit('{"payload": ['), record, F.lit("]}")).alias("body"))
     deletions = documents(table(spark, sf_dir, "supplier"), F.col("s_suppkey").alias("id"))
     landings.land_survey(
         spark,
@@ -179,3 +193,36 @@ def survey_landing(spark, sf_dir):
     answer = landed("answers", "cycle", F.col("item.part"), F.col("score"))
     deletion = landed("deletions", "id", none.cast("bigint"), none.cast("double"))
     return cycle.unionByName(answer).unionByName(deletion)
+
+
+@query(
+    "gz_landing",
+    f"""select p_partkey::bigint sku, case when p_partkey % 7 <> 0 then p_retailprice end price, p_brand brand, '2025-03-07' dt, 
+              (select count(*) from part where p_partkey % 7 = 0) rejected from part""",
+)
+def gz_landing(spark, sf_dir):
+    """Two gzip layouts of one day, the columns swapped, into the landing zone; the day is three days back."""
+    root = scratch_path(spark, "zones")
+    price = F.when(F.col("p_partkey") % 7 == 0, "n/d").otherwise(F.col("p_retailprice").cast("string")).alias("price")
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"), price, F.col("p_brand").alias("brand"))
+    text = {"sep": "|", "quote": "", "escape": "", "header": True, "compression": "gzip"}
+    folder = f"{root}/transient/prices/dt=2025-03-07"
+    parts.filter("sku % 2 = 0").write.csv(folder, **text)
+    parts.filter("sku % 2 = 1").select("brand", "sku", "price").write.mode("append").csv(folder, **text)
+    _, rejected = landings.land_gz(spark, f"{root}/transient/prices", {"sku": "INTEGER", "price": "FLOAT", "brand": "STRING"}, RUN_TS)
+    return external_table(spark, f"{root}/landing/prices").withColumn("rejected", F.lit(rejected).cast("bigint"))
+
+
+@query(
+    "period_landing",
+    f"""select s_suppkey::varchar codigo, s_name nome, '2025-03-10 01:45:30' dt_ingestao, '{RUN_ID}' id_execucao, '2025-03-09' dt, 'mensal' period from supplier""",
+)
+def period_landing(spark, sf_dir):
+    """A text file of fixed layout whose name says its period; a second run of the day replaces the first."""
+    root = scratch_path(spark, "fixed")
+    path = f"{root}/transient/RPE_117_BASE.txt"
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("codigo"), F.col("s_name").alias("nome"))
+    rows.write.csv(path, sep=";", header=True, encoding="ISO-8859-1")
+    for _ in range(2):
+        landings.land_period(spark, path, f"{root}/landing", RUN_TS)
+    return external_table(spark, f"{root}/landing/mensal").withColumn("period", F.lit("mensal"))

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.plans.hooks import keep_first
-from quayside.plans.publish import append_run
-from quayside.plans.runs import build_models, run_files, run_summary
+from quayside.plans.publish import append_run, merge_range, replace_partition
+from quayside.plans.runs import build_models, counted, run_all, run_files, run_summary
 from quayside.queries.register import RUN_TS, as_text, query, table
 from quayside.session import scratch_path
+from quayside.sources.tables import external_table
 
 FILE_CONFIG = """
     source_file_name string, file_name string, active boolean, file_path string, file_format string,
@@ -93,8 +94,10 @@ MODEL_CONFIG = """
 def model_build(spark, sf_dir):
     landing, bronze, versions = (scratch_path(spark, n) for n in ("landing", "bronze", "config"))
     run = datetime(2025, 3, 9, 2)
-    orders = as_text(table(spark, sf_dir, "orders").withColumn("o_orderdate", F.trunc("o_orderdate", "year")))
+    orders = as_text(table(spark, sf_dir, "orders"))
     customers = as_text(table(spark, sf_dir, "customer"))
+    before = datetime(2025, 3, 8, 2)  # the day before knew no total
+    append_run(with_run_audit(orders.drop("o_totalprice"), before), f"{landing}/vendas/orders", before.date(), run_id_of(before))
     append_run(with_run_audit(orders, run), f"{landing}/vendas/orders", run.date(), run_id_of(run))
     append_run(with_run_audit(customers, run), f"{landing}/dbo/customer", run.date(), run_id_of(run))
     config = spark.createDataFrame(
@@ -131,3 +134,47 @@ def model_build(spark, sf_dir):
     return report.join(sums, "target", "left").join(flags, "target", "left").select(
         source.alias("source"), "status", "rows", "typed", "total", "flag"
     )
+
+
+@query(
+    "model_rejects",
+    """select 'lossy' target, 'ok' status, count(*) "rows", sum(case when l_linenumber = 2 then 1 when l_linenumber = 3 then 2 else 0 end)::bigint rejected
+       from lineitem
+       union all select 'bare', 'failed', 0, null""",
+)
+def model_rejects(spark, sf_dir):
+    """Landed numbers as a source writes them: whole with a point, fractions and words in integer columns."""
+    landing, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    number = F.col("l_linenumber")
+    whole = F.concat(F.col("l_orderkey").cast("string"), F.lit(".0"))
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(number == 2, F.concat(F.col("l_orderkey").cast("string"), F.lit(".5"))).when(number == 3, "n/d").otherwise(whole).alias("k"),
+        F.when(number == 3, "x").otherwise(F.col("l_partkey").cast("string")).alias("p"),
+        F.col("l_returnflag").alias("f"),
+    )
+    run = datetime(2025, 3, 9, 2)
+    for name in ("lossy", "bare"):
+        append_run(with_run_audit(lines, run), f"{landing}/dbo/{name}", run.date(), run_id_of(run))
+    config = [(f"dbo.{n}", None, "bronze", n, "FULL", None, None, None, 0) for n in ("lossy", "bare")]
+    columns = [("dbo.Lossy", "K", "int"), ("dbo.Lossy", "P", "bigint"), ("dbo.Lossy", "F", "char")]
+    report = build_models(
+        spark, spark.createDataFrame(config, MODEL_CONFIG), landing, bronze,
+        spark.createDataFrame(columns, "table_name string, column_name string, data_type string"), "sqlserver", "1990-01-01", "2030-12-31",
+    )
+    return report.select("target", "status", "rows", "rejected")
+
+
+@query(
+    "empty_merge",
+    """select o_orderkey, o_orderdate::date::varchar "DT" from orders
+       where o_orderdate::date not between date '1996-01-01' and date '1996-03-31'""",
+)
+def empty_merge(spark, sf_dir):
+    """A snapshot without rows clears the days of its range and is a run that went well."""
+    path = scratch_path(spark, "merge")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("DT"))
+    replace_partition(rows, path, "DT")
+    report = run_all([("orders", "orders", lambda: counted(rows.limit(0), lambda df: merge_range(spark, df, path, "1996-01-01", "1996-03-31")))], 1)
+    if report[0][2:4] != ("ok", 0):
+        raise AssertionError(report)
+    return external_table(spark, path)

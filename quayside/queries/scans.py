@@ -272,19 +272,18 @@ def scan_free_query(spark, sf_dir):
     return tables.scan_free_query(spark, FREE_QUERY, events=table(spark, sf_dir, "events"))
 
 
-def year_of(name: str):
-    """First day of the year: few enough folders for a trial run, real ones are days."""
-    return F.trunc(F.col(name).cast("date"), "year")
+def day_of(name: str):
+    return F.col(name).cast("date")
 
 
 def _dated_orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").withColumn("dt", year_of("o_orderdate"))
+    return table(spark, sf_dir, "orders").withColumn("dt", day_of("o_orderdate"))
 
 
 @query(
     "external_table",
     """select o_orderkey, 'line 1, "' || o_orderpriority || '"' || chr(10) || 'line 2' as note, o_totalprice,
-              date_trunc('year', o_orderdate)::date::varchar as dt from orders""",
+              o_orderdate::date::varchar as dt from orders""",
 )
 def external_table(spark, sf_dir):
     path = scratch_path(spark, "external")
@@ -292,18 +291,18 @@ def external_table(spark, sf_dir):
     rows = _dated_orders(spark, sf_dir).select("o_orderkey", note.alias("note"), "o_totalprice", "dt")
     rows.hint("rebalance", F.col("dt")).write.options(header=True, escape='"').partitionBy("dt").csv(path)
     schema = "o_orderkey bigint, note string, o_totalprice double, dt date"
-    return tables.external_table(spark, path, "csv", schema)
+    return tables.external_table(spark, path, "csv", schema, multi_line=True)
 
 
 @query(
     "run_folder",
-    "select o_orderkey, o_custkey, '1997-01-01' as dt from orders where year(o_orderdate) = 1997",
+    "select o_orderkey, o_custkey, '1997-03-04' as dt from orders where o_orderdate::date = date '1997-03-04'",
 )
 def run_folder(spark, sf_dir):
     path = scratch_path(spark, "runs")
     rows = _dated_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "dt")
     rows.hint("rebalance", F.col("dt")).write.partitionBy("dt").parquet(path)
-    return tables.run_folder(tables.external_table(spark, path), date(1997, 1, 1))
+    return tables.run_folder(tables.external_table(spark, path), date(1997, 3, 4))
 
 
 def landed_text(spark, sf_dir, name: str):

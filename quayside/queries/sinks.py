@@ -10,7 +10,7 @@ from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.operators.filters import latest_snapshot
 from quayside.plans import publish
 from quayside.queries.register import query, table
-from quayside.queries.scans import year_of
+from quayside.queries.scans import day_of
 from quayside.session import scratch_path
 from quayside.sources.tables import external_table
 from quayside.streaming.arrivals import stream_ingest
@@ -44,11 +44,11 @@ def publish_dated(spark, sf_dir):
 @query(
     "replace_partition",
     """select o_orderkey, case when year(o_orderdate) = 1997 then -o_totalprice else o_totalprice end o_totalprice,
-              date_trunc('year', o_orderdate)::date::varchar dt from orders""",
+              o_orderdate::date::varchar dt from orders""",
 )
 def replace_partition(spark, sf_dir):
     path = scratch_path(spark, "replace")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", year_of("o_orderdate").alias("dt"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", day_of("o_orderdate").alias("dt"))
     publish.replace_partition(rows, path, "dt")
     again = rows.filter(F.year("dt") == 1997).withColumn("o_totalprice", -F.col("o_totalprice"))
     publish.replace_partition(again, path, "dt")
@@ -84,15 +84,15 @@ def append_run(spark, sf_dir):
 
 @query(
     "merge_range",
-    """select o_orderkey, o_totalprice, date_trunc('year', o_orderdate)::date::varchar "DT" from orders
+    """select o_orderkey, o_totalprice, o_orderdate::date::varchar "DT" from orders
        where year(o_orderdate) not between 1996 and 1998
        union all
-       select o_orderkey, -o_totalprice, date_trunc('year', o_orderdate)::date::varchar from orders
+       select o_orderkey, -o_totalprice, o_orderdate::date::varchar from orders
        where year(o_orderdate) in (1997, 1998, 2000)""",
 )
 def merge_range(spark, sf_dir):
     path = scratch_path(spark, "merge")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", year_of("o_orderdate").alias("DT"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", day_of("o_orderdate").alias("DT"))
     publish.replace_partition(rows, path, "DT")
     # the snapshot lacks 1996, which must vanish, and brings rows of 2000, outside the range
     snapshot = rows.filter(F.year("DT").isin(1997, 1998, 2000)).withColumn("o_totalprice", -F.col("o_totalprice"))

@@ -28,13 +28,14 @@ def local_session(cores: int | str = "*", app: str = "quayside", memory: str = "
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet, in the folder all executors share.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session that has none gets a
-    temporary folder; on a cluster a machine-local folder would not be seen by the other executors.
+    The folder is the cluster's ``spark.checkpoint.dir``, or the context's checkpoint folder. Only a session in
+    one process that has neither is given a temporary one; on a cluster the other executors would not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="quayside-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.coerce import to_number
-from quayside.operators.lookups import small_or_plain
 from quayside.sources.columns import use_columns
 
 # Words that stand for a missing value in a delimited file.
@@ -60,7 +59,8 @@ def scan_delimited(
         "quote": quote or "",
         "escape": quote or "",
         "multiLine": multi_line,
-        "enforceSchema": True,
+        # names that were not given come from a file: one with others, or in another order, then fails the read
+        "enforceSchema": columns is not None,
     }
     if glob:
         options["pathGlobFilter"] = glob
@@ -90,7 +90,7 @@ def _below_header(reader, path, header: int, columns: Sequence[str] | None) -> D
         F.monotonically_increasing_id().alias("_id"),
     )
     first = placed.filter("_split = 0").groupBy("_file").agg(F.min("_id").alias("_first"))
-    below = placed.join(small_or_plain(first), "_file").withColumn("_at", F.col("_id") - F.col("_first"))
+    below = placed.join(first, "_file").withColumn("_at", F.col("_id") - F.col("_first"))
     if columns is None:
         names = below.filter((F.col("_split") == 0) & (F.col("_at") == header)).limit(1).first()
         if names is None:
@@ -103,9 +103,28 @@ def _below_header(reader, path, header: int, columns: Sequence[str] | None) -> D
 def scan_gz_pipe(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Gzip files of pipe-separated UTF-8 text without quoting; other files are passed over.
 
-    A gzip file cannot be split: one task reads one file. Writers below rebalance what it yields.
+    Each file's values go by its own header; files may differ in the order and in the set of columns. A gzip file
+    cannot be split: one task reads one file, its rows in order. Writers below rebalance what it yields.
     """
-    return scan_delimited(spark, path, sep="|", quote=None, glob="*.gz", columns=columns)
+    lines = spark.read.option("pathGlobFilter", "*.gz").text(path)
+    return words_to_null(pipe_columns(pipe_lines(lines), columns).drop("file"), NULL_WORDS)
+
+
+def pipe_lines(lines: DataFrame) -> DataFrame:
+    """``file, id, value`` of text lines, ids rising within a file that one task reads."""
+    return lines.select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"), "value").filter("value <> ''")
+
+
+def pipe_columns(lines: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Values of ``file, id, value`` lines by the header of their file, a missing column null; with ``file``."""
+    heads = lines.groupBy("file").agg(F.min_by("value", "id").alias("header"), F.min("id").alias("top"))
+    if columns is None:
+        columns = []
+        for row in heads.select("header").distinct().orderBy("header").collect():  # one row per layout
+            columns += [c for c in row["header"].split("|") if c not in columns]
+    rows = lines.join(heads, "file").filter("id > top")
+    names, values = F.split("header", r"\|"), F.split("value", r"\|")
+    return rows.select("file", *[F.get(values, (F.array_position(names, c) - 1).cast("int")).alias(c) for c in columns])
 
 
 def csv_layouts(spark: SparkSession, path: str, glob: str) -> dict[str, list[str]]:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside import storage
 from quayside.operators.filters import incremental_window
 from quayside.sources.columns import project_fields
 
@@ -26,17 +25,18 @@ def external_table(
     schema: T.StructType | str | None = None,
     header: bool = True,
     merge_schema: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Everything below ``uri`` with the folder partitions as columns; ``dt=…`` comes as a date.
 
-    Give the schema of a CSV table; without one its columns come as text.
+    Give the schema of a CSV table; without one its columns come as text. A CSV file is split over tasks
+    unless quoted line breaks (``multi_line``) forbid it.
     """
     reader = spark.read.option("basePath", uri)
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        # quoted line breaks are allowed, so a file is read by one task: keep files bounded
-        options = {"sep": ",", "multiLine": True, "encoding": "UTF-8", "header": header, "escape": '"'}
+        options = {"sep": ",", "multiLine": multi_line, "encoding": "UTF-8", "header": header, "escape": '"'}
         return reader.options(**options).csv(uri)
     if file_format == "parquet":
         return reader.option("mergeSchema", merge_schema).parquet(uri)
@@ -51,13 +51,6 @@ def run_folder(df: DataFrame, run_date: date, column: str = "dt") -> DataFrame:
     return df.filter(F.col(column) == (wanted if isinstance(kind, T.StringType) else wanted.cast("date")))
 
 
-def partition_values(spark: SparkSession, uri: str, column: str = "dt") -> list[str]:
-    """Values of the first-level partition folders, from a listing; no file is opened."""
-    prefix = f"{column.lower()}="
-    names = storage.child_folders(spark, uri)
-    return [n[len(prefix) :] for n in names if n.lower().startswith(prefix)]
-
-
 def scan_collection(
     df: DataFrame,
     field: str | None = None,

@@ -14,7 +14,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.lookups import small_or_plain
 from quayside.sources.columns import use_columns
 from quayside.sources.delimited import decimal_number
 
@@ -235,7 +234,7 @@ def sheet_table(
         value = {n: F.get("cells", F.lit(i)) for i, n in enumerate(names)}
     else:
         head = heads.select("file", F.col("cells").alias("_head"))
-        rows = rows.join(small_or_plain(head), "file")
+        rows = rows.join(head, "file")
         value = {}
         for n in names:
             at = F.lit(None).cast("int")

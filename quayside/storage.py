@@ -32,6 +32,12 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def partition_values(spark: SparkSession, path: str, column: str = "dt") -> list[str]:
+    """Values of the first-level partition folders, from a listing; no file is opened."""
+    prefix = f"{column.lower()}="
+    return [n[len(prefix) :] for n in child_folders(spark, path) if n.lower().startswith(prefix)]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

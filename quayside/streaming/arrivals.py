@@ -6,24 +6,26 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quayside.operators.casting import cast_to_schema
 from quayside.plans.publish import replace_partition
-from quayside.sources.delimited import NULL_WORDS, words_to_null
+from quayside.plans.runs import observed
+from quayside.sources.delimited import NULL_WORDS, pipe_columns, words_to_null
 
 
-def arriving_gz_pipe(
-    spark: SparkSession, path: str, columns: Sequence[str], max_files: int | None = None
-) -> DataFrame:
-    """Stream of the rows of new ``.gz`` pipe files, as text, with the ``run`` of their folder."""
-    reader = spark.readStream.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    options = {"sep": "|", "header": True, "quote": "", "escape": "", "pathGlobFilter": "*.gz", "recursiveFileLookup": True}
+def arriving_gz_pipe(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the lines of new ``.gz`` files, ``file, value``; ``run_rows`` opens a batch of them."""
+    options = {"pathGlobFilter": "*.gz", "recursiveFileLookup": True}
     if max_files:
         options["maxFilesPerTrigger"] = max_files
-    rows = words_to_null(reader.options(**options).csv(path).select("*", "_metadata.file_path"), NULL_WORDS)
-    run = F.regexp_extract("file_path", r"/run=([^/]+)/", 1)
-    return rows.withColumn("run", run).drop("file_path")
+    return spark.readStream.options(**options).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def run_rows(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A batch's rows as text, each by its file's own header, with the ``run`` of the file's folder."""
+    placed = lines.withColumn("id", F.monotonically_increasing_id()).filter("value <> ''")
+    rows = pipe_columns(placed, columns).withColumn("run", F.regexp_extract("file", r"/run=([^/]+)/", 1))
+    return words_to_null(rows.drop("file"), NULL_WORDS)
 
 
 def stream_ingest(
@@ -44,15 +46,15 @@ def stream_ingest(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
-        typed = cast_to_schema(batch, {**schema, "run": "STRING"}, seen)
+        typed = cast_to_schema(run_rows(batch, columns), {**schema, "run": "STRING"}, seen)
         replace_partition(typed.withColumn("batch", F.lit(batch_id)), target, "run", "batch")
         if rejects:
-            found = [(name, number) for name, number in seen.get.items() if name != "run"]
+            found = [(name, number) for name, number in observed(seen).items() if name != "run"]
             report = spark.createDataFrame(found, "column_name string, rejected long")
             report.write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={batch_id}")
 
     query = (
-        arriving_gz_pipe(spark, source, columns, max_files)
+        arriving_gz_pipe(spark, source, max_files)
         .writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -13,5 +13,5 @@ def spark(tmp_path_factory):
     session = local_session("*")
     session.sparkContext.setLogLevel("OFF")
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     return session

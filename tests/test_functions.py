@@ -123,12 +123,13 @@ def test_days(spark):
     assert lenient == [date(2024, 2, 29), run, run, run, run]
     with pytest.raises(Exception, match="CANNOT_PARSE|parse"):
         apply(spark, dates.strict_day, ["2024/01/01"])
-    assert dates.resolve_run_date(None, run) == run
-    assert dates.resolve_run_date(None, run, days_back=3) == date(2025, 3, 7)
-    assert dates.resolve_run_date(" 2025-01-02 ", run) == date(2025, 1, 2)
-    assert dates.resolve_run_date("02/01/2025", run) == run
+    asked = [(None, 0), (None, 3), (" 2025-01-02 ", 3), ("02/01/2025", 3), ("  ", 3)]
+    days = spark.range(1).select([dates.run_day(text, run, back).alias(f"d{i}") for i, (text, back) in enumerate(asked)])
+    assert list(days.first()) == [run, date(2025, 3, 7), date(2025, 1, 2), run, date(2025, 3, 7)]
+    assert dates.wall_time(date(2025, 1, 2)) == dates.wall_time("2025-01-02") == datetime(2025, 1, 2)
+    assert dates.wall_time(datetime(2025, 1, 2, 3, 4)) == datetime(2025, 1, 2, 3, 4)
     with pytest.raises(ValueError):
-        dates.as_day("01/02/2025")
+        dates.wall_time("01/02/2025")
 
 
 def test_iso_text(spark):

@@ -277,12 +277,6 @@ def test_lookup(spark):
     assert rows(lookups.lookup(files.filter("name = 'a'"), table, ["name"])[0]) == [("a", "csv")]
 
 
-def test_small_side_is_broadcast_and_large_is_not(spark):
-    assert lookups.small_or_plain(spark.range(5)).count() == 5
-    big = spark.range(50)
-    assert lookups.small_or_plain(big, most=10) is big
-
-
 def test_unions(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2)], "b string, a int")

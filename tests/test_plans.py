@@ -52,13 +52,13 @@ def test_snapshot_prunes_by_a_subquery(spark, tmp_path):
     assert snapshot.count() == 5
 
 
-def test_capped_keys_are_broadcast_and_open_ones_are_sized(spark):
+def test_keys_are_sized_by_spark(spark):
     facts = spark.read.parquet(f"{SF}/lineitem.parquet")
     keys = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin LeftSemi" in plan(lookups.facts_for_keys(facts, keys.limit(10), "l_orderkey"))
-        assert "SortMergeJoin LeftSemi" in plan(lookups.facts_for_keys(facts, keys, "l_orderkey", capped=False))
+        assert "SortMergeJoin LeftSemi" in plan(lookups.facts_for_keys(facts, keys.limit(10), "l_orderkey"))
+        assert "SortMergeJoin LeftSemi" in plan(lookups.facts_for_keys(facts, keys, "l_orderkey"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -4,8 +4,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.plans.hooks import common_chain, custom_transform
-from quayside.plans.runs import run_files, run_summary, source_uri
+from quayside.operators.audit import run_id_of, with_run_audit
+from quayside.plans.hooks import common_chain, custom_transform, keep_first
+from quayside.plans.publish import append_run, merge_range
+from quayside.plans.runs import build_models, counted, read_source, run_all, run_files, run_summary, source_uri
 from quayside.queries.runs import FILE_CONFIG
 from quayside.queries.scans import workbook_bytes
 from quayside.streaming.arrivals import stream_ingest
@@ -104,3 +106,64 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     assert run() == [(1, True, "2025-01-01"), (2, False, "2025-01-01"), (3, None, "2025-01-02"), (None, None, "2025-01-01")]
     counts = spark.read.parquet(rejects).groupBy("column_name").agg(F.sum("rejected"))
     assert rows(counts) == [("id", 1), ("ok", 1)]
+
+
+def _landed(spark, root, name, days):
+    for day, df in days:
+        run = datetime(2025, 3, day, 2)
+        append_run(with_run_audit(df, run), f"{root}/dbo/{name}", run.date(), run_id_of(run))
+
+
+def _model(name, kind="FULL"):
+    return (f"dbo.{name}", None, "bronze", name, kind, None if kind == "FULL" else "d", None, None, 0)
+
+
+MODELS = """source_table_name string, source_file_name string, target_dataset string, target_table_name string, migration_type string,
+    partition_column string, filter_column string, incremental_join_clause string, flag_table_created int"""
+
+
+def test_models_are_honest(spark, tmp_path):
+    landing, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    text = spark.createDataFrame([("7.0", "a"), ("3.5", "b"), ("n/d", "c"), (None, "d")], "k string, s string")
+    _landed(spark, landing, "lossy", [(9, text)])
+    _landed(spark, landing, "drift", [(8, text.select("k")), (9, text)])
+    _landed(spark, landing, "bare", [(9, text)])
+    config = spark.createDataFrame([_model(n) for n in ("lossy", "drift", "bare")], MODELS)
+    catalogues = spark.createDataFrame(
+        [("DBO.Lossy", "k", "int"), ("dbo.lossy", "s", "varchar"), ("dbo.drift", "s", "varchar")], "table_name string, column_name string, data_type string"
+    )
+    report = build_models(spark, config, landing, bronze, catalogues, "sqlserver", "2025-01-01", "2025-12-31").collect()
+    by = {r["target"]: r for r in report}
+    assert (by["lossy"]["status"], by["lossy"]["rows"], by["lossy"]["rejected"]) == ("ok", 4, 2)
+    assert sorted(spark.read.parquet(f"{bronze}/bronze/lossy").filter("K is not null").select("K").collect()) == [(7,)]
+    assert (by["drift"]["status"], by["drift"]["rows"]) == ("ok", 4)
+    assert by["bare"]["status"] == "failed" and "catalogue" in by["bare"]["message"]
+    strict = build_models(spark, config, landing, bronze, catalogues, "sqlserver", "2025-01-01", "2025-12-31", strict=True).collect()
+    assert {r["target"]: r["status"] for r in strict}["lossy"] == "failed"
+
+
+def test_an_empty_snapshot_clears_its_range(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.sql("select id, date_add(date'2025-01-01', cast(id as int)) DT from range(5)")
+    merge_range(spark, rows, path, "2025-01-01", "2025-01-31")
+    seen = counted(rows.limit(0), lambda df: merge_range(spark, df, path, "2025-01-02", "2025-01-03"))
+    assert seen == 0
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 3, 4]
+
+
+def test_errors_without_text_are_reported():
+    def job():
+        raise AssertionError
+
+    assert run_all([("a", "b", job)], 1) == [("a", "b", "failed", 0, "AssertionError: ", None)]
+
+
+def test_first_row_of_a_text_folder_is_of_its_first_file(spark, tmp_path):
+    (tmp_path / "t.csv").mkdir()
+    (tmp_path / "t.csv" / "a.csv").write_text("k,v,w\nx,first,\"1,5\"\n")
+    (tmp_path / "t.csv" / "b.csv").write_text("k,v,w\n" + "".join(f"x,later {i},\"2,5\"\n" for i in range(500)) + "y,\"10,20\",\"3\"\n")
+    cfg = {"source_file_name": "t.csv", "file_format": "csv", "delimiter": ",", "decimal": ","}
+    table = read_source(spark, cfg, str(tmp_path))
+    kept = custom_transform(table, "one", None, {"one": keep_first("k")})
+    # a column with other text keeps its commas, one of numbers gets points
+    assert sorted((r.k, r.v, r.w) for r in kept.collect()) == [("x", "first", "1.5"), ("y", "10,20", "3")]

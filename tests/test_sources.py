@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.queries.scans import workbook_bytes
+from quayside import storage
 from quayside.sources import columns, delimited, documents, tables, workbook
 
 
@@ -150,13 +151,13 @@ def test_external_table_and_run_folder(spark, tmp_path):
         folder = tmp_path / f"dt={day}"
         folder.mkdir()
         (folder / "f.csv").write_text(f'v,w\n"{value}\nx",1\n')
-    df = tables.external_table(spark, str(tmp_path), "csv")
+    df = tables.external_table(spark, str(tmp_path), "csv", multi_line=True)
     assert dict(df.dtypes)["dt"] == "date"
     day = tables.run_folder(df, date(2025, 1, 2))
     assert rows(day) == [("b\nx", "1", date(2025, 1, 2))]
     assert "PartitionFilters: [isnotnull(dt" in day._jdf.queryExecution().executedPlan().toString()
-    assert tables.partition_values(spark, str(tmp_path)) == ["2025-01-01", "2025-01-02"]
-    assert tables.partition_values(spark, str(tmp_path / "none")) == []
+    assert storage.partition_values(spark, str(tmp_path)) == ["2025-01-01", "2025-01-02"]
+    assert storage.partition_values(spark, str(tmp_path / "none")) == []
 
 
 def test_drifting_parquet(spark, tmp_path):
