@@ -5,16 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside import storage
 from quayside.session import scratch_path
 
 
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared scratch folder and read again: what follows does not go back further."""
+    """The rows written to the shared scratch folder and read again: what follows does not go back further.
+
+    The shuffle files of the step are not needed then. Spark drops them once the driver has collected its own
+    garbage, which is asked for here, so that a long run does not keep the files of all its steps.
+    """
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.parquet(path)
 
 
+def dropped(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            storage.delete(spark, folder)
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges`` (a, b): the smallest node that can be reached.
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import anchors as A
 from quayside.llm import hashing as H
-from quayside.llm.components import stored
+from quayside.llm.components import dropped, stored
 
 SEED = 64
 
@@ -251,26 +251,51 @@ def repeated_spans(spark: SparkSession, texts: DataFrame, least: int = 200, grou
     again = windows.groupBy("a", "o", "w").agg(F.sum("n").alias("total")).where("total > 1").select("a", "o", "w")
     counted = windows.join(again, ["a", "o", "w"]).select("h", "size", (F.col("pos") - F.col("o")).alias("first"), (F.col("pos") - F.col("o") + least).alias("last"))
     spans = local.unionAll(whole).unionAll(tree).unionAll(counted)
-    return stored(spark, spans.groupBy("h", "size").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
+    done = stored(spark, spans.groupBy("h", "size").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
+    dropped(spark, found, repeated, classes, around, hot)
+    return done
+
+
+_SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 
 
 def _cut():
+    """Merge the spans of each text and keep the bytes outside them."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, removed = [], []
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                data = (batch.column("text")[i].as_py() or "").encode()
-                merged: list[list[int]] = []
-                for a, b in sorted((s["first"], s["last"]) for s in spans or ()):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                ends = [0] + [x for m in merged for x in m] + [len(data)]
-                kept.append(b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2])))
-                removed.append([{"first": a, "last": b} for a, b in merged])
-            kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("size"), pa.array(removed, kind), pa.array(kept, pa.binary())], names=["id", "n_bytes", "removed", "kept"])
+            spans = batch.column("spans").cast(_SPANS)
+            ends = np.asarray(spans.value_lengths().fill_null(0)).cumsum()
+            flat = spans.flatten()
+            first, last = np.asarray(flat.field("first")), np.asarray(flat.field("last"))
+            for texts in H.slices(batch.column("text")):
+                n = len(texts.bounds) - 1
+                own = np.append(ends[texts.first - 1] if texts.first else 0, ends[texts.first : texts.first + n])
+                doc = np.repeat(np.arange(n), np.diff(own))
+                # one line for all texts, a gap between them
+                shift = texts.bounds[:-1] + np.arange(n)
+                a, b = first[own[0] : own[-1]] + shift[doc], last[own[0] : own[-1]] + shift[doc]
+                order = np.argsort(a, kind="stable")
+                a, reach, doc = a[order], np.maximum.accumulate(b[order]), doc[order]
+                fresh = np.append(True, a[1:] > reach[:-1]) if len(a) else np.zeros(0, bool)
+                begin, doc = a[fresh] - shift[doc[fresh]], doc[fresh]
+                end = reach[np.append(np.flatnonzero(fresh)[1:] - 1, len(a) - 1)] - shift[doc] if len(a) else begin
+                removed = pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], ["first", "last"])
+                per_doc = pa.array(np.searchsorted(doc, np.arange(n + 1)), pa.int32())
+                step = np.zeros(len(texts.data) + 1, np.int32)
+                np.add.at(step, texts.bounds[doc] + begin, 1)
+                np.add.at(step, texts.bounds[doc] + end, -1)
+                keep = np.cumsum(step[:-1]) == 0
+                kept = np.append(0, np.cumsum(keep))[texts.bounds]
+                data = pa.py_buffer(texts.data[keep].tobytes())
+                part = batch.slice(texts.first, n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"), part.column("size"), pa.ListArray.from_arrays(per_doc, removed),
+                        pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(kept.astype(np.int64).tobytes()), data]).cast(pa.binary()),
+                    ],
+                    names=["id", "n_bytes", "removed", "kept"],
+                )
 
     return rows
 
