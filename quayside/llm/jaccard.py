@@ -12,7 +12,8 @@ rarity with ties broken by three different hashes; candidates share prefix shing
 Links are wanted up to reachability, so a group that shares a prefix shingle is not paired off: its most
 typical set is compared with all others first; what is then in one component needs no further comparison, and
 this is repeated with what is left over; only sets that remain apart are compared with each other, all of them.
-Candidates are counted out exactly.
+Lengths and the places of the shared shingle bound what two sets can share, before any pair is made. Candidates are
+counted out exactly.
 
 Defined results: a null text, an empty one and one without words have no shingles and link with nothing; fewer
 words than a shingle are one shingle; a null id takes part and has the component of its text; repeated rows are
@@ -211,22 +212,23 @@ def _links(spark: SparkSession, held: DataFrame, percent: int, star_rounds: int)
         ranked = F.transform("shared", lambda s: F.struct(s["df"].alias("df"), F.xxhash64(s["token"], F.lit(k)).alias("tie"), s["token"].alias("token")))
         return F.transform(F.slice(F.sort_array(ranked), F.lit(1), F.col("room")), lambda s: s["token"]).alias(f"p{k}")
 
-    prefixes = shared.select("sig", "n", "room", *[prefix(k) for k in range(ORDERS)])
+    prefixes = shared.select("sig", "n", "room", F.size("shared").alias("common"), *[prefix(k) for k in range(ORDERS)])
     prefixes = stored(spark, prefixes, "prefixes")
-    bucket = prefixes.select("sig", "n", "room", F.explode("p0").alias("token"))
-    bucket = stored(spark, bucket, "buckets")
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    # ``rest``: shingles from this one on; if it is the first that two sets share, they share no more than the smaller rest
+    bucket = prefixes.select("sig", "n", "room", "common", F.posexplode("p0").alias("at", "token"))
+    bucket = stored(spark, bucket.select("sig", "n", "room", "token", (F.col("common") - F.col("at")).alias("rest")), "buckets")
+    fits = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.least("rest", "rest2") * (100 + percent) >= (F.col("n") + F.col("m")) * percent)
     done = links = root = None
     for _ in range(star_rounds):
         now = bucket if root is None else bucket.join(root, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
         if root is None:
             now = now.withColumn("root", F.col("sig"))
         # the most typical set of a bucket has most of its prefix shared; it stands for the bucket's largest component
-        by_root = now.groupBy("token", "root").agg(F.max(F.struct("room", "sig", "n")).alias("best"), F.count(F.lit(1)).alias("size"))
+        by_root = now.groupBy("token", "root").agg(F.max(F.struct("room", "sig", "n", "rest")).alias("best"), F.count(F.lit(1)).alias("size"))
         centre = by_root.groupBy("token").agg(
             F.max(F.struct("size", "best", "root")).alias("top"), F.min("root").alias("low"), F.max("root").alias("high")
         ).where("low <> high")
-        centre = centre.select("token", F.col("top.root").alias("own"), F.col("top.best.sig").alias("a"), F.col("top.best.n").alias("m"))
+        centre = centre.select("token", F.col("top.root").alias("own"), F.col("top.best.sig").alias("a"), F.col("top.best.n").alias("m"), F.col("top.best.rest").alias("rest2"))
         pairs = now.join(centre, "token").where("root <> own").where(fits).select("a", F.col("sig").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
@@ -240,7 +242,7 @@ def _links(spark: SparkSession, held: DataFrame, percent: int, star_rounds: int)
     now = bucket.join(root, "sig", "left").withColumn("root", F.coalesce("root", "sig")) if root is not None else bucket.withColumn("root", F.col("sig"))
     mixed = now.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
     left = now.join(mixed, "token", "left_semi")
-    right = left.select("token", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    right = left.select("token", F.col("sig").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("rest").alias("rest2"))
     pairs = left.join(right, "token").where("sig < b and root <> other").where(fits).select(F.col("sig").alias("a"), "b").distinct()
     both = done.unionAll(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
     found = _verified(spark, pairs.join(both, ["a", "b"], "left_anti"), held, prefixes, percent)
