@@ -267,8 +267,12 @@ def _verified(spark: SparkSession, pairs: DataFrame, held: DataFrame, prefixes:
 
 
 def keep_one(spark: SparkSession, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without all but one (the smallest id) of each component; rows repeated under that id leave one."""
+    """The documents without all but one (the smallest id) of each component; rows repeated under that id leave one.
+
+    Rows without an id stay, as no verdict can name them.
+    """
     found = near_duplicates(spark, documents, id_col, text_col, **options)
     kept = found.where("id is null or id = component_id").select(F.col("id").alias("__kept")).distinct()
     best = documents.join(kept, documents[id_col].eqNullSafe(F.col("__kept")), "left_semi")
-    return best.dropDuplicates([id_col])
+    alone = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    return best.withColumn("__alone", alone).dropDuplicates([id_col, "__alone"]).drop("__alone")

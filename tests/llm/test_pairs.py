@@ -1,9 +1,9 @@
 """Similarity joins, passages and repeated strings next to brute force."""
 
-import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.llm import chains, components, jaccard, repeats
 from tests.llm.tables import documents, texts
@@ -48,9 +48,12 @@ def test_jaccard_group_of_near_copies(spark):
 def test_jaccard_keeps_one_of_each(spark):
     rows = texts()
     df = documents(spark, rows)
-    kept = jaccard.keep_one(spark, df.unionAll(df.limit(3)), length=5, percent=80)
+    nameless = df.limit(12).withColumn("doc_id", F.lit(None).cast("bigint"))
+    kept = jaccard.keep_one(spark, df.unionAll(df.limit(3)).unionAll(nameless), length=5, percent=80)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({v[1] for v in lowest(rows, 5, 80).values()})
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(None) == 12
+    assert sorted(i for i in ids if i is not None) == sorted({v[1] for v in lowest(rows, 5, 80).values()})
 
 
 def test_jaccard_of_nothing(spark):
