@@ -170,7 +170,7 @@ WEIGHTS = {"domain": {"d0": 40, "d1": 30, "d2": 20, "d3": 10}, "lang": {"en": 55
 
 def levels() -> dict:
     number = F.regexp_extract("source", "[0-9]+", 0)
-    return {"domain": F.concat(F.lit("d"), number.cast("int") % 4), "lang": F.col("lang"), "source": F.col("source")}
+    return {"domain": F.concat(F.lit("d"), number.try_cast("int") % 4), "lang": F.col("lang"), "source": F.col("source")}
 
 
 def _poured(level: str, above: list[str], parent: str, weight: str) -> str:
@@ -193,7 +193,7 @@ def _case(level: str) -> str:
 
 _OP10 = f"""
 with docs as (
-  select doc_id, lang, source, 'd' || (cast(regexp_extract(source, '[0-9]+') as int) % 4) as domain,
+  select doc_id, lang, source, 'd' || (try_cast(regexp_extract(source, '[0-9]+') as int) % 4) as domain,
     len(regexp_extract_all(text, '[^ \t\n\r\f\x0B]+')) as n_tokens
   from documents),
 leaves as (select domain, lang, source, cast(sum(n_tokens) as bigint) as held, cast(sum(n_tokens) * 3 as bigint) as cap from docs group by all),
