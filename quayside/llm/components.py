@@ -12,12 +12,12 @@ from quayside.session import scratch_path
 def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared scratch folder and read again: what follows does not go back further.
 
-    The shuffle files of the step are not needed then. Spark drops them once the driver has collected its own
+    The shuffle files of earlier steps are not needed then. Spark drops them once the driver has collected its own
     garbage, which is asked for here, so that a long run does not keep the files of all its steps.
     """
     path = scratch_path(spark, label)
-    df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()
+    df.write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -35,7 +35,7 @@ from quayside.llm.components import components, stored
 _WORD = H.unspaced()
 _TOKEN_BITS = 48
 #: Tokens that a task gathers before it sends them on.
-_BUFFER = 1_500_000
+_BUFFER = 1_000_000
 ORDERS = 3
 
 
@@ -136,26 +136,29 @@ def _packed(length: int, ranges: int):
 
 def _shared_counts(table: pa.Table) -> pa.Table:
     """For the packs of one range: per set, how many of its shingles in the range another set has too."""
-    columns = {c: table.column(c).to_pylist() for c in ("sets", "common", "tokens", "marks")}
-    sets = [np.frombuffer(x, np.uint64) for x in columns["sets"]]
+    kinds = {"sets": np.uint64, "common": np.uint32, "tokens": np.uint32, "marks": np.uint16}
+    # views of the packs, not copies
+    columns = {c: [np.frombuffer(x.as_buffer(), k) if len(x.as_buffer()) else np.zeros(0, k) for x in table.column(c)] for c, k in kinds.items()}
+    sets = columns["sets"]
     all_sets, place = np.unique(np.concatenate(sets), return_inverse=True)
     first = np.cumsum([0] + [len(s) for s in sets])
     credit = np.zeros(len(all_sets), np.int64)
-    keys = []
+    key = np.empty(sum(len(x) for x in columns["tokens"]), np.uint64)
+    at = 0
     nobody = len(all_sets)  # stands for a shingle that several sets of one buffer hold
     for i, f in enumerate(first[:-1]):
         own = np.append(place[f : first[i + 1]], nobody)
-        np.maximum.at(credit, own[:-1], np.frombuffer(columns["common"][i], np.uint32).astype(np.int64))
-        mark = np.frombuffer(columns["marks"][i], np.uint16)
+        np.maximum.at(credit, own[:-1], columns["common"][i].astype(np.int64))
+        mark = columns["marks"][i]
         doc = own[np.where(mark == 65535, len(own) - 1, mark)].astype(np.uint64)
-        keys.append((np.frombuffer(columns["tokens"][i], np.uint32).astype(np.uint64) << H.U(32)) | doc)
-    key = np.sort(np.concatenate(keys))
-    key = key[np.append(True, key[1:] != key[:-1])]
-    token, doc = key >> H.U(32), (key & H.U((1 << 32) - 1)).astype(np.int64)
-    same = np.append(False, token[1:] == token[:-1])
-    shared = same | np.append(same[1:], False)
-    shared &= doc != nobody
-    credit += np.bincount(doc[shared], minlength=len(all_sets) + 1)[:-1]
+        key[at : at + len(doc)] = (columns["tokens"][i].astype(np.uint64) << H.U(32)) | doc
+        at += len(doc)
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+    half = key.view(np.uint32).reshape(-1, 2)  # little-endian: the set, then the shingle
+    same = np.append(False, half[1:, 1] == half[:-1, 1])
+    shared = (same | np.append(same[1:], False)) & (half[:, 0] != nobody)
+    credit += np.bincount(half[shared, 0], minlength=len(all_sets) + 1)[: len(all_sets)]
     # a set sent from several buffers may have been credited for one shingle twice: too many keeps it, never drops it
     at = np.flatnonzero(credit)
     return pa.table({"sig": all_sets[at].view(np.int64), "shared": credit[at]})
@@ -176,19 +179,46 @@ def _tokens(length: int):
     return rows
 
 
+_SPOTS = 1 << 25
+
+
+def _likely(spark: SparkSession, source: DataFrame, live: DataFrame) -> DataFrame:
+    """The rows of ``source`` whose id may be in ``live``, so that the others' texts are not shuffled to be dropped.
+
+    A bitmap of a fixed four megabytes, made by a grouped bit_or, is all that comes to the driver and is broadcast.
+    The join decides; with more ids than spots the bitmap just lets everything pass.
+    """
+    spot = F.pmod(F.xxhash64("id"), F.lit(_SPOTS))
+    marks = live.select(spot.alias("spot")).selectExpr("shiftright(spot, 6) as word", "shiftleft(1L, cast(spot & 63 as int)) as bit")
+    bitmap = np.zeros(_SPOTS // 64, np.int64)
+    for row in marks.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect():
+        bitmap[row.word] = row.bits
+    held = spark.sparkContext.broadcast(bitmap)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = held.value
+        for batch in batches:
+            at = np.asarray(batch.column("spot"))
+            keep = (words[at >> 6] >> (at & 63)) & 1 == 1
+            yield batch.filter(pa.array(keep)).select(["id", "text"])
+
+    return source.where("id is not null").withColumn("spot", spot).mapInArrow(rows, "id bigint, text string")
+
+
 def near_duplicates(
     spark: SparkSession, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 5, percent: int = 80, star_rounds: int = 3
 ) -> DataFrame:
     """Per document row: ``id, n_shingles, component_id`` (the smallest id that links reach, its own included)."""
     source = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = stored(spark, source.mapInArrow(_describe(length), "id bigint, n bigint, sig bigint"), "set-rows")
-    ranges = min(65_535, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # a set's shingles lie in many ranges, each with a count of its own: no more of them than memory asks for
+    ranges = min(65_535, max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 // 3))
     packs = source.select("text").mapInArrow(_packed(length, ranges), "range int, sets binary, common binary, tokens binary, marks binary")
     counts = packs.groupBy("range").applyInArrow(_shared_counts, "sig bigint, shared bigint").groupBy("sig").agg(F.sum("shared").alias("shared"))
     sets = rows.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.min("id").alias("id"))
     live = sets.join(counts, "sig").where(F.col("shared") * 100 >= F.col("n") * percent).where("id is not null").select("id", "sig", "n")
     live = stored(spark, live, "live")
-    texts = source.join(live, "id")
+    texts = _likely(spark, source, live).join(live, "id")
     held = stored(spark, texts.mapInArrow(_tokens(length), "sig bigint, n bigint, tokens array<bigint>").dropDuplicates(["sig"]), "live-sets")
     links = _links(spark, held, percent, star_rounds)
     roots = components(spark, links)
