@@ -144,3 +144,49 @@ def test_chain_has_the_best_score():
         top = max([5.0] + [5 + sum(5 - 0.05 * (x - a + y - b) for (a, b), (x, y) in zip(c, c[1:])) for c in found])
         assert abs(top - best_chain(points, 5, 0.05)) < 1e-9
         assert all(a[0] < b[0] and a[1] < b[1] for c in found for a, b in zip(c, c[1:]))
+
+
+def spans(rows):
+    return {(r.doc_id, r.first, r["last"], r.partner_id, r.partner_first, r.partner_last) for r in rows if r.kind == "passage"}
+
+
+def words_of(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def within(found, a, first, last, b, other_first, other_last, slack=15):
+    """Whether a passage of a and b holds the bounds given, or misses or passes them by a few words."""
+    ends = [(f, e, g, h) if (i, j) == (a, b) else (g, h, f, e) for i, f, e, j, g, h in found if {i, j} == {a, b}]
+    return any(f <= first and e >= last and g <= other_first and h >= other_last and e - f <= last - first + slack for f, e, g, h in ends)
+
+
+@pytest.mark.parametrize("gap", [60, 200])
+def test_two_passages_of_one_pair(spark, gap):
+    one, two = words_of("p", 60), words_of("q", 60)
+    rows = [" ".join(one + words_of(f"g{i}x", gap) + two) for i in range(2)]
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    assert within(found, 0, 0, 60, 1, 0, 60)
+    assert within(found, 0, 60 + gap, 120 + gap, 1, 60 + gap, 120 + gap)
+
+
+def common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for i, y in enumerate(b):
+            row.append(last[i] + 1 if x == y else max(last[i + 1], row[-1]))
+    return row[-1]
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 50])
+def test_common_words_are_a_longest_subsequence(bits, monkeypatch):
+    import random
+
+    monkeypatch.setattr(chains, "_TABLE_BITS", bits)
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ([rng.randint(0, 6) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        pairs = chains.common_words(a, b)
+        assert all(a[x] == b[y] for x, y in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        assert len(pairs) == common_length(a, b)
