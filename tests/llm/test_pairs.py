@@ -190,3 +190,16 @@ def test_common_words_are_a_longest_subsequence(bits, monkeypatch):
         pairs = chains.common_words(a, b)
         assert all(a[x] == b[y] for x, y in pairs) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
         assert len(pairs) == common_length(a, b)
+
+
+def test_passages_go_on_beyond_the_seeds():
+    import numpy as np
+
+    a = np.arange(600, dtype=np.uint32)
+    b = np.concatenate([a[:150], [9001], a[150:450], a[452:]]).astype(np.uint32)
+    for xs, ys in (([300], [301]), ([20], [20]), ([580], [579])):
+        x, y, less, more = chains.align(xs, ys, a, b, 5, 0.8)
+        assert chains.stretches(x, y, 50, 0.8) == [(0, 600, 0, 599, 598)] and less and more
+    # the chain's words and 64 more on either side do not tell: the whole text is asked for
+    x, y, less, more = chains.align([64], [301], a[236:369], b, 5, 0.8)
+    assert less and more
