@@ -203,3 +203,21 @@ def test_passages_go_on_beyond_the_seeds():
     # the chain's words and 64 more on either side do not tell: the whole text is asked for
     x, y, less, more = chains.align([64], [301], a[236:369], b, 5, 0.8)
     assert less and more
+
+
+@pytest.mark.parametrize("percent", [10, 15, 20])
+def test_passages_with_replaced_words(spark, percent):
+    """Passages of 60 words, so many of them replaced in the second text, at random places but never an end: each must be found."""
+    import random
+
+    rng = random.Random(percent)
+    rows, want = [], []
+    for i in range(60):
+        own = words_of(f"p{i}x", 60)
+        other = list(own)
+        for at in rng.sample(range(1, 59), 60 * percent // 100):
+            other[at] = f"r{i}x{at}"
+        rows += [" ".join(words_of(f"a{i}x", 30) + own + words_of(f"b{i}x", 30)), " ".join(words_of(f"c{i}x", 50) + other + words_of(f"d{i}x", 10))]
+        want.append((2 * i, 30, 90, 2 * i + 1, 50, 110))
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    assert [x for x in want if not within(found, *x)] == []
