@@ -2,8 +2,9 @@
 
 A run of token characters is random if a byte-pair vocabulary needs many tokens for it: ordinary words, names
 and numbers with structure give three or more characters a token, random ones fewer than two. Runs that are
-known digests (hexadecimal of a digest's length, UUIDs) or identifiers (one kind of character only, or parts
-that are words) are left out of this test; the fixed shapes are reported whatever they hold.
+known digests (hexadecimal of a digest's length, UUIDs) or identifiers (digits only, or parts that are words; letters
+of one case are words only if the vocabulary says so) are left out of this test; the fixed shapes are reported whatever
+they hold. A run that is not random as a whole is tested between its ``=``, ``/`` and ``_`` too.
 
 Defined results: a null or empty text has no spans; offsets are code points, the end is exclusive; repeated
 rows are scanned each; other columns are not read. A document is scanned whole, in one piece.
@@ -25,15 +26,30 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 _PARTS = re.compile(r"[/_=+.-]+")
 #: Parts of identifiers: words in camel case, a constant or a number; a word may end in a short number.
 _PLAIN = re.compile(r"[a-z]*(?:[A-Z][a-z]{2,})*[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+")
 
 
-def _identifier(run: str) -> bool:
-    return all(_PLAIN.fullmatch(part) for part in _PARTS.split(run) if part)
+#: Letters of one case: words only if the vocabulary knows them. Shorter ones tell nothing.
+_ONE_CASE = re.compile(r"(?:[a-z]{5,}|[A-Z]{5,})(?=[0-9]{0,4}$)")
+_FIELD = re.compile(r"[A-Za-z0-9+-]+")
+
+
+def _identifier(run: str, vocabulary, most_ratio: float) -> bool:
+    parts = [part for part in _PARTS.split(run) if part]
+    if not all(_PLAIN.fullmatch(part) for part in parts):
+        return False
+    letters = [m.group() for part in parts if (m := _ONE_CASE.match(part))]
+    return sum(map(len, letters)) >= most_ratio * sum(len(vocabulary.encode_ordinary(x)) for x in letters)
+
+
+def _random(run: str, vocabulary, most_ratio: float, least: int) -> bool:
+    if len(run) < least or _DIGEST.fullmatch(run) or len(run) >= most_ratio * len(vocabulary.encode_ordinary(run)):
+        return False
+    return not _identifier(run, vocabulary, most_ratio)
 
 
 def encoding(ranks: bytes, pattern: str):
@@ -50,11 +66,12 @@ def scan(text: str, vocabulary, most_ratio: float, least: int) -> list[tuple[int
     found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     for m in _RUN.finditer(text):
-        run = m.group().rstrip("=")
-        if len(run) < least or _DIGEST.fullmatch(run) or _identifier(run):
-            continue
-        if len(run) < most_ratio * len(vocabulary.encode_ordinary(run)):
+        if _random(m.group().rstrip("="), vocabulary, most_ratio, least):
             found.append((m.start(), 3, m.end()))
+            continue
+        # beside plain words a random field can be lost in the whole
+        fields = [f for f in _FIELD.finditer(m.group()) if f.span() != (0, len(m.group()))]
+        found += [(m.start() + f.start(), 3, m.start() + f.end()) for f in fields if _random(f.group(), vocabulary, most_ratio, least)]
     return sorted(found)
 
 

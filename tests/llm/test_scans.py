@@ -93,6 +93,25 @@ def test_secret_spans(spark):
     assert secrets.secret_spans(spark, documents(spark, []), "/opt/tokenizers/byte_bpe_50k.tiktoken", public_tokenizers.PATTERN).collect() == []
 
 
+@pytest.mark.parametrize("text,secret", [
+    ("eyJhbGciOiJIUzI1NiJ9.xJ9qLw2ZkPv8RtYb4NcM7sDf1GhQ.q8ZtVb3XkLm5RwYp7NcJ2sDf", ("xJ9qLw2ZkPv8RtYb4NcM7sDf1GhQ", "q8ZtVb3XkLm5RwYp7NcJ2sDf")),
+    ("see https://example.com/xJ9qLw2ZkPv8RtYb4NcM7sDf1GhQ now", ("xJ9qLw2ZkPv8RtYb4NcM7sDf1GhQ",)),
+    ("authorization_header_value=xJ9qLw2ZkPv8RtYb4NcM", ("xJ9qLw2ZkPv8RtYb4NcM",)),
+    ("use qzjxkvwpfhtrbgnmcdzyqlxw now", ("qzjxkvwpfhtrbgnmcdzyqlxw",)),
+    ("use QZJXKVWPFHTRBGNMCDZYQLXW now", ("QZJXKVWPFHTRBGNMCDZYQLXW",)),
+    ("www.example.com/documentation/getting_started and donaudampfschifffahrtsgesellschaft", ()),
+    ("MAX_RETRIES_BEFORE_FAILURE config.someLongIdentifierNameHere.value CONSTANTNAMEOFSOMETHING", ()),
+])
+def test_random_strings_beside_plain_ones(text, secret):
+    import public_tokenizers
+
+    with open("/opt/tokenizers/byte_bpe_50k.tiktoken", "rb") as file:
+        vocabulary = secrets.encoding(file.read(), public_tokenizers.PATTERN)
+    found = [text[a:b] for a, k, b in secrets.scan(text, vocabulary, 2.0, 20) if secrets.KINDS[k] == "random"]
+    assert len(found) == len(secret) or text.startswith("ey")
+    assert all(any(x in f for f in found) for x in secret)
+
+
 def pages(rows):
     return [(i, f"http://x/{i}", h, "t") for i, h in enumerate(rows)]
 
