@@ -221,3 +221,14 @@ def test_passages_with_replaced_words(spark, percent):
         want.append((2 * i, 30, 90, 2 * i + 1, 50, 110))
     found = spans(chains.passages(spark, documents(spark, rows)).collect())
     assert [x for x in want if not within(found, *x)] == []
+
+
+def test_passage_whose_words_stand_in_other_texts_too(spark):
+    """Two texts hold parts of a passage of two others; whichever comes first by hash, the two are compared."""
+    rows, want = [], []
+    for i in range(12):
+        p = words_of(f"p{i}x", 60)
+        rows += [" ".join(words_of(f"{x}{i}x", 30) + own + words_of(f"{x}{i}y", 30)) for x, own in (("a", p[:40]), ("b", p[20:]), ("c", p), ("d", p))]
+        want.append((4 * i + 2, 30, 90, 4 * i + 3, 30, 90))
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    assert [x for x in want if not within(found, *x)] == []
