@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chains, decontam, extraction, jaccard, mixing, quality, repeats, secrets, sharding, topk
+from quayside.llm import chains, codes, decontam, extraction, jaccard, lines, mixing, quality, repeats, secrets, sharding, topk, trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,3 +217,105 @@ def mixing_sources(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     mixed = mixing.mix(spark, documents, levels(), WEIGHTS, F.floor(F.col("held") * 8 / 10), max_epochs=3, seed=17)
     return mixed.select("doc_id", levels()["domain"].alias("domain"), "lang", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_tokens").alias("n_tokens"))
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda ch: ascii(ch)::bigint)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)))"""
+
+_OP11 = rf"""
+with own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+  from conversations where conv_id is not null group by conv_id),
+rebuilt as (
+  select o.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, h), list_slice(o.turns, h + 1, len(o.turns))) as path
+  from (select *, {_CRC32} % 4 as h from own) o left join own b on b.conv_id = o.conv_id - o.conv_id % 20),
+nodes as (
+  select list_slice(path, 1, d) as path, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+    list(conv_id order by conv_id) filter (len(path) = d) as ends
+  from (select *, unnest(range(len(path) + 1)) as d from rebuilt) group by 1, 2),
+family as (
+  select v.path, v.depth, count(*) filter (u.depth = v.depth + 1) as n_children,
+    sum((u.n_convs - 1) * case when u.depth = 0 then 0 else len(regexp_extract_all(u.path[-1].text, '[^\x20\x09-\x0D]+')) end) as saved_tokens
+  from nodes v join nodes u on u.depth >= v.depth and list_slice(u.path, 1, v.depth) = v.path group by 1, 2),
+leaves as (
+  select v.path, v.depth, count(*) as n_leaves
+  from nodes v join (select n.* from nodes n join family f using (path, depth) where f.n_children = 0) u
+    on u.depth >= v.depth and list_slice(u.path, 1, v.depth) = v.path group by 1, 2)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, f.n_children, l.n_leaves, cast(f.saved_tokens as bigint) as saved_tokens,
+  sha256(coalesce(array_to_string(n.ends, ','), '')) as ends_sha256
+from nodes n join family f using (path, depth) join leaves l using (path, depth)
+  left join nodes p on p.depth = n.depth - 1 and p.path = list_slice(n.path, 1, n.depth - 1)
+"""
+
+
+@query("op11_conversation_prefix_trie", _OP11)
+def conversation_prefix_trie(spark, sf_dir):
+    turns = trie.turns(table(spark, sf_dir, "conversations"))
+    first = F.crc32(F.col("conv_id").cast("string")) % 4
+    grafted = trie.grafted(spark, turns, onto=F.col("conv_id") - F.col("conv_id") % 20, first=first, most=3)
+    return trie.prefix_trie(spark, grafted)
+
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP12 = f"""
+with docs as (select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+placed as (
+  select row, doc_id, i, lines[i] as line, trim(translate(lines[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_SPACES}) as key
+  from (select *, unnest(range(1, len(lines) + 1)) as i from docs)),
+shared as (select key from (select distinct row, key from placed) where len(key) >= 1 group by key having count(*) >= 10)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(s.key) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (s.key is null), '')) as kept_sha256
+from placed p left join shared s using (key) group by row
+"""
+
+
+@query("op12_line_dedup", _OP12)
+def line_dedup(spark, sf_dir):
+    kept = lines.drop_shared_lines(spark, table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _assigned(name: str, book: str) -> str:
+    """SQL of an assignment: the nearest entry of each part, and its squared distance."""
+    return f"""
+{name} as materialized (
+  select vec_id, part, any_value(x) as x, min(struct_pack(d := d, j := j)) as best
+  from (select p.vec_id, p.part, p.x, b.j, list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, b.c) + list_dot_product(b.c, b.c) as d from parts p join {book} b using (part))
+  group by vec_id, part)"""
+
+
+def _moved(name: str, book: str, assigned: str) -> str:
+    """SQL of an update: each used entry becomes the floor of its parts' mean."""
+    return f"""
+{name} as materialized (
+  select b.part, b.j, coalesce(m.c, b.c) as c from {book} b left join (
+    select part, j, list(floor(s / n) order by i) as c
+    from (select part, best.j as j, i, sum(x[i]) as s, count(*) as n from (select *, unnest(range(1, len(x) + 1)) as i from {assigned}) group by all) group by part, j) m using (part, j))"""
+
+
+_OP13 = f"""
+with kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (select vec_id, part, list_slice(v, part * len(v) // 4 + 1, (part + 1) * len(v) // 4) as x from kept, range(4) t(part)),
+first as (select vec_id, row_number() over (order by vec_id) - 1 as j from kept qualify j < 256),
+book0 as materialized (select part, j, x as c from parts join first using (vec_id)),
+{",".join(_assigned(f"near{i}", f"book{i}") + "," + _moved(f"book{i + 1}", f"book{i}", f"near{i}") for i in range(4))},
+{_assigned("near4", "book4")},
+coded as (
+  select vec_id, array_to_string(list(printf('%02x', best.j) order by part), '') as code, cast(sum(best.d) as bigint) as error from near4 group by vec_id),
+book as (select sha256(string_agg(cast(cast(c[i] as bigint) as varchar), ',' order by part, j, i)) as codebooks_sha256 from (select *, unnest(range(1, len(c) + 1)) as i from book4))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from coded join kept using (vec_id) cross join book
+"""
+
+
+@query("op13_vector_code_compression", _OP13)
+def vector_code_compression(spark, sf_dir):
+    coded, books = codes.compress(spark, table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    total = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    told = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c.cast("bigint")), 2, "0"))), "")
+    return coded.join(total, F.col("label").eqNullSafe(F.col("of")), "left").select(
+        F.col("id").alias("vec_id"), told.alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
