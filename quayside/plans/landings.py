@@ -24,6 +24,7 @@ from quayside.plans.publish import MAX_RECORDS, append_run, period_folder, publi
 from quayside.plans.runs import REPORT_SCHEMA, counted, observed, run_all, settings_of
 from quayside.sources.delimited import scan_delimited, scan_gz_pipe
 from quayside.sources.documents import page_items, scan_envelope, scan_mixed_folder
+from quayside.sources.pipelines import aggregate
 from quayside.sources.tables import scan_collection, scan_free_query
 
 
@@ -35,9 +36,16 @@ def collection_rows(
     start: date | str | None = None,
     end: date | str | None = None,
     key: str = "_id",
+    others: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """What one configuration row extracts: an incremental window with its fields, or a free query."""
+    """What one configuration row extracts: an incremental window with its fields, or a free query.
+
+    A free query is an aggregation pipeline, a JSON list of stages, or Spark SQL. ``others`` are the collections
+    that a pipeline's stages may name.
+    """
     kind = cfg["pipeline_type"]
+    if kind == "FREE" and cfg["mongo_query"].lstrip().startswith("["):
+        return aggregate(collection, cfg["mongo_query"], others)
     if kind == "FREE":
         return scan_free_query(spark, cfg["mongo_query"], collection=collection)
     if kind != "STANDARD":
@@ -59,6 +67,17 @@ def land_collection(rows: DataFrame, path: str, run_ts: datetime, max_records: i
     return counted(landed, lambda df: append_run(df, path, run_ts.date(), run_id_of(run_ts), max_records))
 
 
+class _ByName(dict):
+    """Collections that are read when a pipeline names them."""
+
+    def __init__(self, read: Callable[[str], DataFrame]):
+        super().__init__()
+        self.read = read
+
+    def __missing__(self, name: str) -> DataFrame:
+        return self.read(name)
+
+
 def run_collections(
     spark: SparkSession,
     config: DataFrame,
@@ -78,7 +97,7 @@ def run_collections(
         name = cfg["source_table_name"]
 
         def job(cfg=cfg, name=name) -> int:
-            rows = collection_rows(spark, cfg, read(name), bronze_root, start, end, key)
+            rows = collection_rows(spark, cfg, read(name), bronze_root, start, end, key, _ByName(read))
             return land_collection(rows, f"{landing_root.rstrip('/')}/{name}", run_ts)
 
         jobs.append((name, cfg["target_table_name"], job))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quayside.queries.register import as_text, money, query, table
 from quayside.session import scratch_path
-from quayside.sources import delimited, documents, tables, workbook
+from quayside.sources import delimited, documents, pipelines, tables, workbook
 
 
 @query(
@@ -272,6 +272,83 @@ def scan_free_query(spark, sf_dir):
     return tables.scan_free_query(spark, FREE_QUERY, events=table(spark, sf_dir, "events"))
 
 
+#: A pipeline as a configuration holds it: the filter reaches the scan, the lookup that is unwound is a plain join.
+FREE_PIPELINE = """[
+  {"$match": {"o_orderdate": {"$gte": {"$date": "1994-01-01T00:00:00Z"}, "$lt": {"$date": "1998-01-01T00:00:00Z"}},
+              "o_orderstatus": {"$in": ["F", "O"]},
+              "lines": {"$elemMatch": {"quantity": {"$gte": 30}, "flag": {"$ne": "A"}}}}},
+  {"$addFields": {"year": {"$year": "$o_orderdate"},
+                  "heavy": {"$size": {"$filter": {"input": "$lines", "as": "l", "cond": {"$gte": ["$$l.quantity", 30]}}}}}},
+  {"$lookup": {"from": "customer", "localField": "o_custkey", "foreignField": "c_custkey", "as": "customer"}},
+  {"$unwind": "$customer"},
+  {"$unwind": {"path": "$lines", "includeArrayIndex": "place"}},
+  {"$match": {"$expr": {"$lt": ["$place", 3]}, "customer.c_acctbal": {"$not": {"$lt": 0}}}},
+  {"$group": {"_id": {"segment": "$customer.c_mktsegment", "year": "$year"}, "n": {"$sum": 1}, "quantity": {"$sum": "$lines.quantity"},
+              "parts": {"$addToSet": "$lines.part"}, "heavy": {"$max": "$heavy"}, "least": {"$min": "$lines.quantity"}}},
+  {"$project": {"_id": 0, "n": 1, "quantity": 1, "heavy": 1, "n_parts": {"$size": "$parts"}, "year": "$_id.year",
+                "label": {"$concat": [{"$toLower": "$_id.segment"}, "-", {"$toString": "$_id.year"}]},
+                "kind": {"$switch": {"branches": [{"case": {"$gt": ["$least", 1]}, "then": "no singles"}], "default": "singles"}}}},
+  {"$sort": {"label": 1}}
+]"""
+
+
+def nested_orders(spark, sf_dir):
+    """Orders with their lines inside, in the order of their numbers, as a stored collection."""
+    line = F.struct(
+        F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag")
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    path = scratch_path(spark, "orders")
+    table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "scan_free_pipeline",
+    """with numbered as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_quantity, l_returnflag) as place from lineitem),
+       chosen as (
+         select o.*, (select count(*) from lineitem where l_orderkey = o_orderkey and l_quantity >= 30) as heavy from orders o
+         where o_orderdate >= timestamp '1994-01-01' and o_orderdate < timestamp '1998-01-01' and o_orderstatus in ('F', 'O')
+           and exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity >= 30 and l_returnflag <> 'A'))
+       select count(*) as n, sum(l_quantity) as quantity, max(heavy)::int as heavy, count(distinct l_partkey)::int as n_parts, year(o_orderdate)::int as "year",
+              lower(c_mktsegment) || '-' || year(o_orderdate) as label, case when min(l_quantity) > 1 then 'no singles' else 'singles' end as kind
+       from chosen join customer on o_custkey = c_custkey join numbered on l_orderkey = o_orderkey
+       where place <= 3 and not c_acctbal < 0 group by c_mktsegment, year(o_orderdate)""",
+)
+def scan_free_pipeline(spark, sf_dir):
+    return pipelines.aggregate(nested_orders(spark, sf_dir), FREE_PIPELINE, {"customer": table(spark, sf_dir, "customer")})
+
+
+#: Arrays made and looked into: the last order of each customer, and what was ordered, with the customers that ordered nothing.
+LOOKUP_PIPELINE = """[
+  {"$match": {"c_mktsegment": {"$nin": ["MACHINERY"]}}},
+  {"$lookup": {"from": "orders", "let": {"key": "$c_custkey"}, "as": "orders", "pipeline": [
+      {"$match": {"$expr": {"$and": [{"$eq": ["$o_custkey", "$$key"]}, {"$gt": ["$o_totalprice", 1000]}]}}},
+      {"$project": {"_id": 0, "o_orderkey": 1, "o_totalprice": 1}}]}},
+  {"$project": {"_id": 0, "c_custkey": 1, "n": {"$size": "$orders"}, "top": {"$max": "$orders.o_totalprice"},
+                "dear": {"$size": {"$filter": {"input": "$orders", "cond": {"$gte": ["$$this.o_totalprice", 50000]}}}},
+                "some": {"$cond": [{"$gt": [{"$size": "$orders"}, 0]}, "yes", "no"]}}},
+  {"$unionWith": {"coll": "orders", "pipeline": [
+      {"$sort": {"o_custkey": 1, "o_orderdate": -1, "o_orderkey": 1}},
+      {"$group": {"_id": "$o_custkey", "last": {"$first": "$o_orderkey"}, "days": {"$push": {"$dateToString": {"date": "$o_orderdate", "format": "%Y-%m-%d"}}}}},
+      {"$project": {"_id": 0, "c_custkey": "$_id", "last": 1, "newest": {"$arrayElemAt": ["$days", 0]}, "oldest": {"$arrayElemAt": ["$days", -1]}}}]}}
+]"""
+
+
+@query(
+    "scan_free_lookup",
+    """select c_custkey, count(o_orderkey)::int as n, max(o_totalprice) as top, count(*) filter (o_totalprice >= 50000)::int as dear,
+              case when count(o_orderkey) > 0 then 'yes' else 'no' end as some, null::bigint as last, null::varchar as newest, null::varchar as oldest
+       from customer left join orders on o_custkey = c_custkey and o_totalprice > 1000 where c_mktsegment <> 'MACHINERY' group by c_custkey
+       union all
+       select o_custkey, null, null, null, null, first(o_orderkey order by o_orderdate desc, o_orderkey), max(o_orderdate)::date::varchar, min(o_orderdate)::date::varchar
+       from orders group by o_custkey""",
+)
+def scan_free_lookup(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return pipelines.aggregate(table(spark, sf_dir, "customer"), LOOKUP_PIPELINE, {"orders": orders})
+
+
 def day_of(name: str):
     return F.col(name).cast("date")
 
