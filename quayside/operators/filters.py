@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside import storage
+from quayside import commits, storage
 from quayside.functions.dates import bound, coerce_datetime, iso_day, wall_time
 from quayside.operators.dedup import ordered_distinct
 
@@ -55,12 +55,12 @@ def start_of_extract(
 ) -> date:
     """Where an extract begins: the explicit day, else the target's watermark, else the first day.
 
-    A target partitioned by the column is only listed. One that is missing or has no such column also starts
-    at the first day.
+    A target partitioned by the column is only listed, be it plain folders or commits. One that is missing or has
+    no such column also starts at the first day.
     """
     if explicit:
         return wall_time(explicit).date()
-    days = [d for v in storage.partition_values(spark, path, column) if (d := _day(v))]
+    days = [d for v in storage.partition_values(spark, path, column) if (d := _day(v))] or commits.partition_days(spark, path, column)
     if days:
         return max(days) - timedelta(days=1)
     try:

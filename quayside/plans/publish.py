@@ -9,7 +9,7 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside import storage
+from quayside import commits, storage
 from quayside.functions.dates import wall_time
 
 # Fixed value: rows per file of the bounded writer. The other sinks let the data size decide (0).
@@ -44,13 +44,33 @@ def even(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+def _recovered(spark: SparkSession, base: str) -> None:
+    """End what a run that died between the two renames of a swap has begun; drop what is left of others."""
+    parent, name = base.rsplit("/", 1)
+    beside = storage.child_folders(spark, parent)
+    ready = [n for n in beside if n.startswith(f"{name}-next-") and storage.exists(spark, f"{parent}/{n}/_SUCCESS")]
+    was = [n for n in beside if n.startswith(f"{name}-was-")]
+    if was and not storage.exists(spark, base):
+        # the old table had made room already: the new one is whole, else the old one comes back
+        storage.rename(spark, f"{parent}/{(ready or was)[0]}", base)
+    for n in beside:
+        if n.startswith((f"{name}-next-", f"{name}-was-")):
+            storage.delete(spark, f"{parent}/{n}")
+
+
 def _swapped(df: DataFrame, path: str, file_format: str) -> None:
-    """Write beside the old table and put it in its place when all is written."""
-    spark, base = df.sparkSession, path.rstrip("/")
-    staging = f"{base}-next-{uuid.uuid4().hex}"
-    _writer(even(df), file_format).save(staging)
-    storage.delete(spark, base)
-    storage.rename(spark, staging, base)
+    """Write beside the old table and put it in its place when all is written.
+
+    Two renames; a run that dies between them leaves both tables whole beside the path, and the next run of
+    the table puts the new one in place before it begins.
+    """
+    spark, base, run = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    _recovered(spark, base)
+    _writer(even(df), file_format).save(f"{base}-next-{run}")
+    if storage.exists(spark, base):
+        storage.rename(spark, base, f"{base}-was-{run}")
+    storage.rename(spark, f"{base}-next-{run}", base)
+    storage.delete(spark, f"{base}-was-{run}")
 
 
 def publish_csv_overwrite(df: DataFrame, path: str) -> None:
@@ -72,9 +92,11 @@ def publish_dated(df: DataFrame, path: str, run_date: date, file_format: str = "
 
 
 def replace_partition(df: DataFrame, path: str, *columns: str, file_format: str = "parquet") -> None:
-    """Replace the partitions the rows fall in and leave the others alone."""
-    writer = _writer(spread_by(df, *columns), file_format).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).save(path)
+    """Replace the partitions the rows fall in and leave the others alone.
+
+    The rows are one commit of the table: written once, seen by readers at once, nothing moved.
+    """
+    commits.write(spread_by(df, *columns), path, columns, writer=lambda rows: _writer(rows, file_format))
 
 
 def bounded_files(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
@@ -96,13 +118,6 @@ def full_refresh(df: DataFrame, path: str) -> None:
     _swapped(df, path, "parquet")
 
 
-def _day_of(value: str) -> date | None:
-    try:
-        return date.fromisoformat(value)
-    except ValueError:
-        return None
-
-
 def merge_range(
     spark: SparkSession,
     snapshot: DataFrame,
@@ -113,24 +128,12 @@ def merge_range(
 ) -> None:
     """Delete the target's days from ``start`` to ``end``, both included, and add the snapshot.
 
-    ``DT`` is the partition, so no target row is read. Rows of the range replace their days in one write, rows
-    outside it are added to what is there, and days of the range that the snapshot lacks are dropped: the
-    driver moves no file. Until the last step readers see the old and the new days side by side; a run that
-    fails between the steps must run again.
+    ``DT`` is the partition, so no target row is read. The snapshot is evaluated and written once, as a commit
+    that takes the place of the range: rows outside it are added to what is there, and days of the range that the
+    snapshot lacks are gone. Readers see the old days or the new ones, whenever the run ends or dies.
     """
     low, high = wall_time(start).date(), wall_time(end).date()
-    base = path.rstrip("/")
-    # one row per day: as many as there will be folders
-    days = {r[0] for r in snapshot.select(F.col(column).cast("date")).distinct().collect()}
-    within = F.col(column).cast("date").between(F.lit(low.isoformat()).cast("date"), F.lit(high.isoformat()).cast("date"))
-    if any(d is not None and low <= d <= high for d in days):
-        replace_partition(snapshot.filter(within), base, column)
-    if any(d is None or not low <= d <= high for d in days):
-        _writer(spread_by(snapshot.filter(~within | F.col(column).isNull()), column), "parquet").mode("append").partitionBy(column).save(base)
-    for value in storage.partition_values(spark, base, column):
-        day = _day_of(value)
-        if day and low <= day <= high and day not in days:
-            storage.delete(spark, f"{base}/{column}={value}")
+    commits.write(spread_by(snapshot, column), path, [column], (column, low, high), lambda rows: _writer(rows, "parquet"))
 
 
 def publish_version(df: DataFrame, path: str) -> str:

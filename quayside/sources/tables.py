@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside import commits
 from quayside.operators.filters import incremental_window
 from quayside.sources.columns import project_fields
 
@@ -30,8 +31,10 @@ def external_table(
     """Everything below ``uri`` with the folder partitions as columns; ``dt=…`` comes as a date.
 
     Give the schema of a CSV table; without one its columns come as text. A CSV file is split over tasks
-    unless quoted line breaks (``multi_line``) forbid it.
+    unless quoted line breaks (``multi_line``) forbid it. A table written in commits is read as of its last one.
     """
+    if file_format == "parquet" and commits.is_committed(spark, uri):
+        return commits.read(spark, uri, schema=schema, mergeSchema=merge_schema)
     reader = spark.read.option("basePath", uri)
     if schema is not None:
         reader = reader.schema(schema)

@@ -32,6 +32,34 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def nested_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Folders ``depth`` levels below ``path``, relative to it; one listing call for each folder above them."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{above}/{name}" if above else name for above in found for name in child_folders(spark, f"{path}/{above}" if above else path) if "=" in name]
+    return found
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that must not be there yet."""
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, False)
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
+
+
 def partition_values(spark: SparkSession, path: str, column: str = "dt") -> list[str]:
     """Values of the first-level partition folders, from a listing; no file is opened."""
     prefix = f"{column.lower()}="
