@@ -16,12 +16,12 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
 from quayside import storage
@@ -35,7 +35,7 @@ class Commit:
     """One complete commit: its folder, its partition folders (relative), and what it takes the place of."""
 
     def __init__(self, folder: str, info: dict, partitions: list[str]):
-        self.folder, self.partitions, self.own = folder, partitions, set(partitions)
+        self.folder, self.partitions, self.own = folder, partitions, {*partitions, *info.get("partitions", [])}
         self.columns: list[str] = info["columns"]
         self.range: dict | None = info["range"]
         self.schema = T.StructType.fromJson(info["schema"])
@@ -78,7 +78,7 @@ def commits(spark: SparkSession, path: str) -> list[tuple[Commit, list[str]]]:
             info = json.loads(storage.read_text(spark, f"{folder}/{_INFO}"))
             if not whole:
                 plain = [p for p in storage.nested_folders(spark, base, len(info["columns"])) if not p.startswith(f"{COLUMN}=")]
-                whole += [Commit(base, info | {"range": None}, plain)] if plain else []
+                whole += [Commit(base, info | {"range": None, "partitions": []}, plain)] if plain else []
             whole.append(Commit(folder, info, storage.nested_folders(spark, folder, len(info["columns"]))))
     return [(c, [p for p in c.partitions if not any(later.replaces(p) for later in whole[i + 1 :])]) for i, c in enumerate(whole)]
 
@@ -89,10 +89,17 @@ def partition_days(spark: SparkSession, path: str, column: str = "DT") -> list[d
     return sorted(d for d in days if d is not None)
 
 
-def write(df: DataFrame, path: str, columns: Sequence[str], days: tuple[str, date, date] | None = None, writer=None) -> None:
+def write(
+    df: DataFrame,
+    path: str,
+    columns: Sequence[str],
+    days: tuple[str, date, date] | None = None,
+    writer: Callable[[DataFrame], DataFrameWriter] | None = None,
+    partitions: Sequence[str] = (),
+) -> None:
     """Add a commit of these rows. It replaces the partitions its rows fall in, or the ``days`` (column, first, last), both included.
 
-    ``df`` is evaluated once. ``writer`` makes the writer of a DataFrame; parquet is the default.
+    ``partitions`` (``a=1/b=2``) are replaced too, whether or not a row falls in them. ``df`` is evaluated once. ``writer`` makes the writer of a DataFrame; parquet is the default.
     """
     spark, base = df.sparkSession, path.rstrip("/")
     if COLUMN in (c.lower() for c in df.columns):
@@ -100,7 +107,7 @@ def write(df: DataFrame, path: str, columns: Sequence[str], days: tuple[str, dat
     begun = _names(spark, base)
     name = f"{COLUMN}={int(_NAME.match(begun[-1])[1]) + 1 if begun else 1:08d}"
     rest = T.StructType([f for f in df.schema if f.name not in columns] + [f for c in columns for f in df.schema if f.name == c])
-    info: dict[str, Any] = {"columns": list(columns), "range": None, "schema": rest.jsonValue()}
+    info: dict[str, Any] = {"columns": list(columns), "range": None, "partitions": list(partitions), "schema": rest.jsonValue()}
     if days:
         info["range"] = {"column": days[0], "from": days[1].isoformat(), "to": days[2].isoformat()}
     storage.write_text(spark, f"{base}/{name}/{_INFO}", json.dumps(info))

@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from quayside import storage
 from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.operators.filters import latest_snapshot
 from quayside.plans import publish
@@ -137,7 +138,39 @@ def stream_ingest_query(spark, sf_dir):
     # the second call finds the first run's files in its checkpoint and takes only the new ones
     events.filter(~first).write.csv(f"{arrivals}/run=2024-01-30", **text)
     stream_ingest(spark, arrivals, target, checkpoint, EVENT_COLUMNS, EVENT_TYPES, rejects=f"{target}-rejects")
-    typed = spark.read.schema(
-        "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz, run string, batch bigint"
-    )
-    return typed.parquet(target).drop("batch")
+    return external_table(spark, target).drop("arrival")
+
+
+@query(
+    "stream_resent",
+    """select event_id, user_id, case when day(ts) <= 15 then -value else value end "value",
+              case when day(ts) <= 15 then '2024-01-15' else '2024-01-30' end run
+       from events where not (day(ts) > 15 and user_id % 4 = 3)""",
+)
+def stream_resent(spark, sf_dir):
+    """Files of a first run are sent again with other rows, one of a second run without any; the rest is not read again."""
+    arrivals, target, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "stream", "checkpoint"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
+    text = {"sep": "|", "quote": "", "escape": "", "header": True, "compression": "gzip"}
+    first = F.dayofmonth("ts") <= 15
+
+    def send(rows, folder):
+        """One file, by a name that stays."""
+        staged = scratch_path(spark, "sent")
+        rows.select("event_id", "user_id", "value").coalesce(1).write.csv(staged, **text)
+        part = next(n for n in storage.child_files(spark, staged) if n.endswith(".gz"))
+        storage.make_folder(spark, folder)
+        storage.delete(spark, f"{folder}/events.csv.gz")
+        storage.rename(spark, f"{staged}/{part}", f"{folder}/events.csv.gz")
+
+    def ingest():
+        stream_ingest(spark, arrivals, target, checkpoint, ["event_id", "user_id", "value"], EVENT_TYPES)
+
+    send(events.filter(first), f"{arrivals}/run=2024-01-15/a")
+    for rest in range(4):
+        send(events.filter(~first & (F.col("user_id") % 4 == rest)), f"{arrivals}/run=2024-01-30/b{rest}")
+    ingest()
+    send(events.filter(first).withColumn("value", -F.col("value")), f"{arrivals}/run=2024-01-15/a")
+    send(events.limit(0), f"{arrivals}/run=2024-01-30/b3")
+    ingest()
+    return external_table(spark, target).drop("arrival")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -50,6 +54,38 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_lines(spark: SparkSession, files: Sequence[str], count: int = 1, encoding: str = "UTF-8", workers: int = 16) -> dict[str, list[str]]:
+    """The first ``count`` lines of each file that are not blank, unpacked where the name says so.
+
+    A file is opened and closed again after its first block, from a few threads: no job runs and no file is read
+    twice as a whole. It is a call for each file, as its listing is.
+    """
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+
+    def look(file: str) -> list[str]:
+        fs, p = _fs(spark, file)
+        codec, stream = codecs.getCodec(p), fs.open(p)
+        try:
+            plain = stream if codec is None else codec.createInputStream(stream)
+            reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(plain, encoding))
+            found: list[str] = []
+            while len(found) < count and (line := reader.readLine()) is not None:
+                line = line.removeprefix("\ufeff") if not found else line
+                if line.strip():
+                    found.append(line)
+            return found
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(zip(files, pool.map(look, files)))
+
+
+def files_read(df: DataFrame) -> list[str]:
+    """Paths of the files a scan would open; its listing is what the driver plans with, no job runs."""
+    return sorted(unquote(f) for f in df.inputFiles())
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that must not be there yet."""
     fs, p = _fs(spark, path)

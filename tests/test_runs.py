@@ -1,4 +1,5 @@
 import gzip
+import os
 from datetime import datetime
 
 import pytest
@@ -10,6 +11,8 @@ from quayside.plans.publish import append_run, merge_range
 from quayside.plans.runs import build_models, counted, read_source, run_all, run_files, run_summary, source_uri
 from quayside.queries.runs import FILE_CONFIG
 from quayside.queries.scans import workbook_bytes
+from quayside.sources.tables import external_table
+from quayside.streaming import arrivals
 from quayside.streaming.arrivals import stream_ingest
 
 RUN = datetime(2025, 3, 10, 12)
@@ -108,6 +111,43 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     assert rows(counts) == [("id", 1), ("ok", 1)]
 
 
+def test_a_file_sent_again_takes_the_place_of_its_rows(spark, tmp_path):
+    source, target, state, rejects = (str(tmp_path / n) for n in ("in", "out", "state", "rejects"))
+    folder = tmp_path / "in" / "run=2025-01-01"
+
+    def run():
+        stream_ingest(spark, source, target, state, ["id", "ok"], {"id": "INTEGER"}, rejects)
+        return rows(external_table(spark, target).select("id", "ok"))
+
+    drop_gz(folder, "a b+c.gz", ["id|ok", "1|a", "2|b"])
+    drop_gz(folder, "b.gz", ["id|ok", "3|c"])
+    assert run() == [(1, "a"), (2, "b"), (3, "c")]
+    drop_gz(folder, "a b+c.gz", ["ok|id", "x|10"])  # other rows, in another order of columns
+    drop_gz(tmp_path / "in", "late.gz", ["id|ok", "5|e"])  # new, and of no run
+    assert run() == [(10, "x"), (3, "c"), (5, "e")]
+    assert run() == [(10, "x"), (3, "c"), (5, "e")]
+    drop_gz(folder, "b.gz", ["id|ok"])  # no rows any more
+    drop_gz(tmp_path / "in", "late.gz", ["id|ok", "oops|f"])
+    assert run() == [(10, "x"), (None, "f")]
+    os.utime(folder / "b.gz", (1, 1))  # the same content, but written again
+    assert run() == [(10, "x"), (None, "f")]
+    assert sorted(p.name for p in (tmp_path / "rejects").iterdir() if p.is_dir()) == ["batch=-1", "batch=-2", "batch=-3", "batch=0", "batch=1"]
+    with pytest.raises(ValueError, match="arrival"):
+        stream_ingest(spark, source, target, state, ["Arrival"], {})
+
+
+def test_a_batch_that_failed_after_its_commit_adds_nothing_twice(spark, tmp_path, monkeypatch):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    drop_gz(tmp_path / "in" / "run=2025-01-01", "a.gz", ["id", "1", "2"])
+    with monkeypatch.context() as m:
+        m.setattr(arrivals, "_LEDGER", "path string")  # the ledger's write fails after the rows are committed
+        with pytest.raises(Exception):
+            stream_ingest(spark, source, target, state, ["id"], {"id": "INTEGER"})
+    stream_ingest(spark, source, target, state, ["id"], {"id": "INTEGER"})
+    stream_ingest(spark, source, target, state, ["id"], {"id": "INTEGER"})
+    assert rows(external_table(spark, target).select("id")) == [(1,), (2,)]
+
+
 def _landed(spark, root, name, days):
     for day, df in days:
         run = datetime(2025, 3, day, 2)

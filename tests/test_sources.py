@@ -232,3 +232,57 @@ def test_cell_kinds():
     assert read == [("S", 0, 2, ["rich", None, "2023-03-15 12:00:00", "true", None, "f", "0.1", "60", None])]
     assert list(workbook.read_sheets(out.getvalue(), "other")) == []
     assert list(workbook.read_sheets(out.getvalue(), last_row=1)) == []
+
+
+# files of several layouts and splits -----------------------------------------------------------------
+
+
+def pack(path, *lines):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with gzip.open(path, "wt", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_gz_pipe_layouts_are_read_once(spark, tmp_path):
+    pack(tmp_path / "run=2025-01-01" / "a b%20c.gz", "k|v|w", "1|x|y", "", "2|short", "3|a|b|too|many")
+    pack(tmp_path / "run=2025-01-01" / "b.gz", "w|k", "z|4")
+    pack(tmp_path / "run=2025-01-02" / "c.gz", "k|k", "5|6")
+    pack(tmp_path / "run=2025-01-02" / "d.gz", "k|v|w")
+    (tmp_path / "run=2025-01-02" / "e.gz").write_bytes(gzip.compress(b""))
+    df = delimited.scan_gz_pipe(spark, str(tmp_path))
+    assert df.columns == ["k", "v", "w"]
+    assert rows(df) == sorted([("1", "x", "y"), ("2", "short", None), ("3", "a", "b"), ("4", None, "z"), ("5", None, None)], key=str)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and plan.count("FileScan csv") == 3
+    assert rows(delimited.scan_gz_pipe(spark, str(tmp_path), ["w", "x"]).filter("w is not null")) == [("b", None), ("y", None), ("z", None)]
+    pruned = delimited.scan_gz_pipe(spark, str(tmp_path)).select("w")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c2:string>" in pruned
+
+
+def test_header_below_in_files_of_several_splits(spark, tmp_path):
+    body = [f"{i};row {i}" for i in range(4000)]
+    (tmp_path / "a.csv").write_text("\n".join(["Title", "", "of;three;words", "note", "key;name", *body]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join(["Title", "x", "note", "key;name", "n1;note", "Title;x"]) + "\n")
+    (tmp_path / "short.csv").write_text("Title\nx\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = delimited.scan_delimited(spark, str(tmp_path), sep=";", header=3)
+        assert df.rdd.getNumPartitions() > 4
+        assert df.columns == ["key", "name"]
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("FileScan csv") == 1
+    assert sorted(map(tuple, got), key=str) == sorted([tuple(b.split(";")) for b in body] + [("n1", "note"), ("Title", "x")], key=str)
+
+
+def test_header_below_must_be_one(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("t\na,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("t\nb,a\n1,2\n")
+    with pytest.raises(ValueError, match="other columns"):
+        delimited.scan_delimited(spark, str(tmp_path), header=1)
+    assert rows(delimited.scan_delimited(spark, str(tmp_path), header=1, columns=["x", "y"])) == [("1", "2"), ("1", "2")]
+    (tmp_path / "c.csv").write_text('t\n"a,\n x",b\n"1\n2",3\n')
+    assert delimited.scan_delimited(spark, str(tmp_path / "c.csv"), header=1, multi_line=True).columns == ["a,\n x", "b"]
+    assert rows(delimited.scan_delimited(spark, str(tmp_path / "c.csv"), header=1, multi_line=True)) == [("1\n2", "3")]
