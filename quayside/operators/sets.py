@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from quayside.operators.widening import union_widening
+
 
 def union_batches(batches: Iterable[DataFrame]) -> DataFrame:
     """Append batches of one schema by column name."""
@@ -14,5 +16,6 @@ def union_batches(batches: Iterable[DataFrame]) -> DataFrame:
 
 
 def union_drifting(batches: Iterable[DataFrame]) -> DataFrame:
-    """Append batches whose columns differ; a column a batch lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+    """Append batches whose columns or types differ: a column a batch lacks is null there, one of several types
+    gets the least type that holds them all. ``union_widening`` also tells what was widened."""
+    return union_widening(list(batches))[0]

@@ -6,9 +6,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from quayside.operators import configs, dedup, filters, lookups, sets
+from quayside.operators import configs, dedup, filters, lookups, sets, widening
 from quayside.queries.filters import _cycles
 from quayside.queries.register import query, table
+from quayside.session import scratch_path
 
 
 @query(
@@ -85,6 +86,53 @@ def union_drifting(spark, sf_dir):
     return sets.union_drifting([customers, suppliers])
 
 
+def _event_batches(spark, sf_dir):
+    """Three batches of one collection: a column is a whole number, then text, then a decimal; a record gains and widens fields."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    third = F.col("event_id") % 3
+    first = events.filter(third == 0).select("event_id", F.col("user_id").cast("int").alias("who"), F.struct("k").alias("props"), F.array(F.col("k")).alias("ks"))
+    second = events.filter(third == 1).select(
+        "event_id",
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("who"),
+        F.struct(F.col("k").cast("bigint").alias("k"), F.lit("new").alias("kind")).alias("props"),
+        F.array(F.col("k").cast("bigint") * 10_000_000_000).alias("ks"),
+    )
+    third = events.filter(third == 2).select(F.col("user_id").cast("decimal(12,2)").alias("who"), F.col("event_id").cast("int").alias("EVENT_ID"))
+    return [first, second, third]
+
+
+_DRIFTED = """
+  select event_id, case event_id % 3 when 0 then user_id::varchar when 1 then 'u' || user_id else user_id::decimal(12,2)::varchar end as who,
+         case when event_id % 3 < 2 then json_extract_string(props, '$.k')::bigint end as k, case when event_id % 3 = 1 then 'new' end as kind,
+         case event_id % 3 when 0 then json_extract_string(props, '$.k')::bigint when 1 then json_extract_string(props, '$.k')::bigint * 10000000000 end as top
+  from events"""
+
+
+def _opened(df, *more):
+    return df.select("event_id", "who", F.col("props.k").alias("k"), F.col("props.kind").alias("kind"), F.get("ks", F.lit(0)).alias("top"), *more)
+
+
+@query(
+    "union_drifting_types",
+    f"""with widened(change) as (values ('who 0 int string'), ('who 2 decimal(12,2) string'), ('props.k 0 int bigint'), ('ks[] 0 int bigint'), ('event_id 2 int bigint'))
+        select *, null::varchar as change from ({_DRIFTED}) union all select null, null, null, null, null, change from widened""",
+)
+def union_drifting_types(spark, sf_dir):
+    """Batches whose types drift side by side, and each widening."""
+    rows, changes = widening.union_widening(_event_batches(spark, sf_dir))
+    told = spark.createDataFrame([(f"{c.column} {c.batch} {c.given} {c.became}",) for c in changes], "change string")
+    return _opened(rows).unionByName(told, allowMissingColumns=True)
+
+
+@query("scan_drifting", f"select *, (event_id % 3 + 1)::int as batch from ({_DRIFTED})")
+def scan_drifting(spark, sf_dir):
+    """The same batches as folders of one landing, which no one schema could read."""
+    path = scratch_path(spark, "drifting")
+    for i, batch in enumerate(_event_batches(spark, sf_dir)):
+        batch.write.parquet(f"{path}/batch={i + 1}")
+    return _opened(widening.scan_drifting(spark, path)[0], "batch")
+
+
 def migration_config(spark, sf_dir):
     """A migration row per customer, a third of them not built yet."""
     key = F.col("c_custkey")

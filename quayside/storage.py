@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
@@ -77,8 +77,13 @@ def first_lines(spark: SparkSession, files: Sequence[str], count: int = 1, encod
         finally:
             stream.close()
 
+    return dict(zip(files, in_threads(look, files, workers)))
+
+
+def in_threads(look: Callable, items: Sequence, workers: int = 16) -> list:
+    """Small looks at many files or folders, a few at a time."""
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return dict(zip(files, pool.map(look, files)))
+        return list(pool.map(look, items))
 
 
 def files_read(df: DataFrame) -> list[str]:
