@@ -45,11 +45,27 @@ def incremental_window(
 
 
 def high_watermark(target: DataFrame, column: str = "DT") -> DataFrame:
-    """One row: the day before the newest day of the target, or the first day when it is empty."""
-    newest = F.max(F.col(column).cast("date"))
+    """One row: the day before the newest day of the target, or the first day when it is empty.
+
+    Over a ``footer_scan`` of a table whose column is a date no row is read.
+    """
+    day = F.col(column) if isinstance(target.schema[column].dataType, T.DateType) else F.col(column).cast("date")
+    newest = F.max(day)
     return target.agg(F.coalesce(F.date_sub(newest, 1), F.lit(FIRST_DAY)).alias("watermark"))
 
 
+def footer_scan(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table read so that plain maxima, minima and counts come from the files' footers.
+
+    The session beside the caller's own has two settings for it: the newer parquet source, and its push-down of
+    aggregates. It serves numbers, booleans and dates; other types are read as ever.
+    """
+    beside = spark.newSession()
+    beside.conf.set("spark.sql.sources.useV1SourceList", "")
+    beside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return beside.read.parquet(path)
+
+
 def start_of_extract(
     spark: SparkSession, path: str, column: str = "DT", explicit: date | str | None = None
 ) -> date:
@@ -64,8 +80,8 @@ def start_of_extract(
     if days:
         return max(days) - timedelta(days=1)
     try:
-        return high_watermark(spark.read.parquet(path), column).first()["watermark"]
-    except AnalysisException:
+        return high_watermark(footer_scan(spark, path), column).first()["watermark"]
+    except (AnalysisException, KeyError):
         return FIRST_DAY
 
 

@@ -90,6 +90,7 @@ def run_collections(
     end: date | str | None = None,
     key: str = "_id",
     workers: int = 3,
+    limit: float | None = None,
 ) -> DataFrame:
     """Extract every active collection; ``read`` gives a collection by name from whatever holds it."""
     jobs = []
@@ -101,7 +102,7 @@ def run_collections(
             return land_collection(rows, f"{landing_root.rstrip('/')}/{name}", run_ts)
 
         jobs.append((name, cfg["target_table_name"], job))
-    return spark.createDataFrame(run_all(jobs, workers), REPORT_SCHEMA)
+    return spark.createDataFrame(run_all(jobs, workers, spark, limit), REPORT_SCHEMA)
 
 
 def land_drop(spark: SparkSession, prefix: str, run_date: date, target: str, run_ts: datetime) -> int:

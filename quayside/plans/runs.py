@@ -3,10 +3,15 @@ and the others go on."""
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections import deque
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from queue import Empty, SimpleQueue
+from threading import Thread
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +53,63 @@ def _attempt(source: str, target: str, job: Job) -> tuple:
     return (source, target, "ok", rows, None, rejected)
 
 
-def run_all(jobs: Iterable[tuple[str, str, Job]], workers: int) -> list[tuple]:
-    """Submit jobs from a few threads, so that small tables fill the cluster together."""
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        return list(pool.map(lambda job: _attempt(*job), jobs))
+#: Seconds a job that was cut off has to end by itself before the run goes on without it.
+_GRACE = 10.0
+
+
+def run_all(
+    jobs: Iterable[tuple[str, str, Job]],
+    workers: int,
+    spark: SparkSession | None = None,
+    limit: float | None = None,
+    pool: str | None = None,
+) -> list[tuple]:
+    """Submit jobs from a few threads, so that small tables fill the cluster together.
+
+    A job that takes more than ``limit`` seconds is cut off: its Spark jobs are cancelled by its tag, now and as often as
+    it begins others, its row is reported as failed and the next one takes its place. Threads have the caller's
+    local properties; ``pool`` names the scheduler's pool their jobs share fairly.
+    """
+    if limit is not None and spark is None:
+        raise ValueError("a limit wants the session whose jobs it cuts off")
+    waiting, running, report = deque(enumerate(jobs)), {}, {}
+    ended: SimpleQueue = SimpleQueue()
+
+    def work(number: int, job: tuple[str, str, Job], tag: str) -> None:
+        if spark is not None:
+            spark.sparkContext.addJobTag(tag)
+            spark.sparkContext.setInterruptOnCancel(True)
+            if pool:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        ended.put((number, _attempt(*job)))
+
+    def cut_off(job: tuple[str, str, Job], more: str = "") -> tuple:
+        return (job[0], job[1], "failed", 0, f"cut off after {limit:g} s{more}", None)
+
+    while waiting or running:
+        while waiting and len(running) < workers:
+            number, job = waiting.popleft()
+            tag = f"row-{uuid.uuid4().hex}"
+            thread = InheritableThread(target=work, args=(number, job, tag), session=spark) if spark else Thread(target=work, args=(number, job, tag))
+            thread.daemon = True  # one that never ends must not keep the program
+            running[number] = (job, tag, time.monotonic())
+            thread.start()
+        try:
+            number, row = ended.get(timeout=None if limit is None else 0.2)
+            if number in running:  # else it was given up before
+                job, _, began = running.pop(number)
+                late = limit is not None and time.monotonic() - began > limit and row[2] == "failed"
+                report[number] = cut_off(job) if late else row
+        except Empty:
+            pass
+        for number, (job, tag, began) in list(running.items()):
+            over = -1.0 if limit is None else time.monotonic() - began - limit
+            if over > 0:
+                spark.sparkContext.cancelJobsWithTag(tag)
+            if over > _GRACE:
+                report[number] = cut_off(job, ", outside Spark")
+                del running[number]
+    return [report[number] for number in sorted(report)]
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -139,10 +197,12 @@ def run_files(
     names: list[str] | None = None,
     hooks: Mapping[str, Hook] = HOOKS,
     workers: int = 4,
+    limit: float | None = None,
 ) -> DataFrame:
     """Ingest every active configuration row; the report has one row each.
 
-    A requested name without a configuration is reported as failed, as is a row whose job fails.
+    A requested name without a configuration is reported as failed, as is a row whose job fails or takes more
+    than ``limit`` seconds.
     """
     rows = active_config(config, names, required=False).collect()
     settings = [settings_of(r) for r in rows]
@@ -158,7 +218,7 @@ def run_files(
                 lambda cfg=cfg, target=target: _ingest(spark, cfg, source_root, target, run_ts, hooks),
             )
         )
-    report = run_all(jobs, workers)
+    report = run_all(jobs, workers, spark, limit)
     for name in names or []:
         if name.strip() and name.strip() not in known:
             report.append((name.strip(), None, "failed", 0, "no active configuration", None))
@@ -222,6 +282,7 @@ def build_models(
     config_versions: str | None = None,
     workers: int = 4,
     strict: bool = False,
+    limit: float | None = None,
 ) -> DataFrame:
     """Build every pending model; those that succeed are flagged in a new configuration version.
 
@@ -244,7 +305,7 @@ def build_models(
                 ),
             )
         )
-    report = run_all(jobs, workers)
+    report = run_all(jobs, workers, spark, limit)
     if config_versions:
         done = [row[1] for row in report if row[2] == "ok"]
         publish_version(mark_processed(config, done), config_versions)

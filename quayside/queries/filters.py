@@ -137,3 +137,15 @@ def dedup_keep_first(spark, sf_dir):
 def latest_by_key(spark, sf_dir):
     rows = events_with_deleted(spark, sf_dir).select("event_id", "user_id", "ts", "deleted")
     return dedup.latest_by_key(rows, ["user_id"], ["ts", "event_id"], "deleted")
+
+
+@query(
+    "footer_watermark",
+    """select (max(o_orderdate::date) - 1)::date::varchar as watermark, '1900-01-01' as nothing_yet from orders""",
+)
+def footer_watermark(spark, sf_dir):
+    """The watermark of a table that is not partitioned by its day: it comes from the files' footers."""
+    path = scratch_path(spark, "watermark")
+    table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("DT"), "o_orderkey").write.parquet(path)
+    found = [(filters.start_of_extract(spark, path), filters.start_of_extract(spark, f"{path}-none"))]
+    return spark.createDataFrame(found, "watermark date, nothing_yet date")

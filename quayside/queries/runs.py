@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quayside.operators.audit import run_id_of, with_run_audit
 from quayside.plans.hooks import keep_first
 from quayside.plans.publish import append_run, merge_range, replace_partition
-from quayside.plans.runs import build_models, counted, run_all, run_files, run_summary
+from quayside.plans.runs import REPORT_SCHEMA, build_models, counted, run_all, run_files, run_summary
 from quayside.queries.register import RUN_TS, as_text, query, table
 from quayside.session import scratch_path
 from quayside.sources.tables import external_table
@@ -178,3 +178,25 @@ def empty_merge(spark, sf_dir):
     if report[0][2:4] != ("ok", 0):
         raise AssertionError(report)
     return external_table(spark, path)
+
+
+@query(
+    "limited_run",
+    """select 'events' source, 'ok' status, count(*) "rows", null as message from events
+       union all select 'endless', 'failed', 0, 'cut off after 8 s' union all select 'orders', 'ok', count(*), null from orders""",
+)
+def limited_run(spark, sf_dir):
+    """A row whose job would run for days is cut off; the rows before and after it end."""
+    path = scratch_path(spark, "limited")
+
+    def publish(name):
+        return lambda: counted(table(spark, sf_dir, name), lambda df: df.write.parquet(f"{path}/{name}"))
+
+    def endless():
+        lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("a"))
+        every = lines.crossJoin(lines.toDF("b")).crossJoin(lines.toDF("c")).where("a * b + c = -1")
+        return counted(every, lambda df: df.write.parquet(f"{path}/endless"))
+
+    jobs = [("events", "events", publish("events")), ("endless", "endless", endless), ("orders", "orders", publish("orders"))]
+    report = spark.createDataFrame(run_all(jobs, 2, spark, limit=8.0), REPORT_SCHEMA)
+    return report.select("source", "status", "rows", "message")

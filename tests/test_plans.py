@@ -81,3 +81,16 @@ def test_hot_partition_is_split_over_files(spark, tmp_path):
     files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "t").glob("dt=*")}
     # the tasks of the hot folder split it; most of the others are one file
     assert files["dt=7"] > 3 and sorted(files.values())[len(files) // 2] == 1
+
+
+def test_maxima_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("date_add(date'2024-01-01', cast(id as int)) as DT", "id").repartition(3).write.parquet(path)
+    found = filters.footer_scan(spark, path)
+    found.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    df = filters.high_watermark(found)
+    assert "PushedAggregation: [MAX(DT)]" in df._jdf.queryExecution().executedPlan().toString()
+    assert [str(r.watermark) for r in df.collect()] == ["2024-04-08"]
+    assert str(filters.start_of_extract(spark, path)) == "2024-04-08"
+    # the caller's own session reads as before
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""

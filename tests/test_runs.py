@@ -1,11 +1,13 @@
 import gzip
 import os
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators.audit import run_id_of, with_run_audit
+from quayside.plans import runs
 from quayside.plans.hooks import common_chain, custom_transform, keep_first
 from quayside.plans.publish import append_run, merge_range
 from quayside.plans.runs import build_models, counted, read_source, run_all, run_files, run_summary, source_uri
@@ -207,3 +209,38 @@ def test_first_row_of_a_text_folder_is_of_its_first_file(spark, tmp_path):
     kept = custom_transform(table, "one", None, {"one": keep_first("k")})
     # a column with other text keeps its commas, one of numbers gets points
     assert sorted((r.k, r.v, r.w) for r in kept.collect()) == [("x", "first", "1.5"), ("y", "10,20", "3")]
+
+
+def _endless(spark):
+    return spark.range(10**15, numPartitions=2).selectExpr("sum(sqrt(id)) as s").first()[0]
+
+
+def test_rows_over_their_limit_are_cut_off(spark, monkeypatch):
+    monkeypatch.setattr(runs, "_GRACE", 1.0)
+    names = []
+
+    def named(value):
+        names.append(spark.sparkContext.getLocalProperty("quayside.test"))
+        return value
+
+    def stubborn():  # begins again after each cancellation
+        while True:
+            try:
+                _endless(spark)
+            except Exception:
+                if len(names) > 20:
+                    raise
+                names.append("again")
+
+    spark.sparkContext.setLocalProperty("quayside.test", "mine")
+    jobs = [("a", "a", lambda: _endless(spark)), ("b", "b", lambda: named(2)), ("c", "c", lambda: time.sleep(60)), ("d", "d", stubborn), ("e", "e", lambda: named(spark.range(5).count()))]
+    began = time.monotonic()
+    report = run_all(jobs, 2, spark, limit=3.0, pool="rows")
+    assert time.monotonic() - began < 40
+    assert [r[:4] for r in report] == [("a", "a", "failed", 0), ("b", "b", "ok", 2), ("c", "c", "failed", 0), ("d", "d", "failed", 0), ("e", "e", "ok", 5)]
+    assert [r[4] for r in report if r[4]][0] == "cut off after 3 s" and "outside Spark" in report[2][4]
+    assert names.count("mine") == 2
+    names.extend(["again"] * 30)  # lets the stubborn one end
+    with pytest.raises(ValueError, match="session"):
+        run_all([], 1, limit=1.0)
+    assert spark.range(3).count() == 3  # jobs of others were not touched
