@@ -6,8 +6,8 @@ are similar when |x & y| >= t |x | y|, which needs |x & y| >= t |x|. So under an
 
 Rarest first is the order that decides most. Its head, the shingles that only one set holds, is found by one
 shuffle of packed hashes: a set of which more than the prefix is unshared has no partner and leaves here (most
-do). The remaining sets' shingles are counted among themselves, and prefixes are taken under three orders, by
-rarity with ties broken by three different hashes; candidates share prefix shingles in all three.
+do). The remaining sets' shingles are counted among themselves, and prefixes are taken under three orders: two by
+rarity with ties broken by different hashes, one by hash alone; candidates share prefix shingles in all three.
 
 Links are wanted up to reachability, so a group that shares a prefix shingle is not paired off: its most
 typical set is compared with all others first; what is then in one component needs no further comparison, and
@@ -37,6 +37,10 @@ _TOKEN_BITS = 48
 #: Tokens that a task gathers before it sends them on.
 _BUFFER = 1_000_000
 ORDERS = 3
+#: Shingles of one range of hashes, about: what a task holds when it looks for those that two sets share.
+_RANGE = 2_000_000
+#: Shingles a task goes through, a range at a time.
+_TASK = 8_000_000
 
 
 def shingle_sets(texts: H.Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +138,50 @@ def _packed(length: int, ranges: int):
     return rows
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """For the packs of one range: per set, how many of its shingles in the range another set has too."""
-    kinds = {"sets": np.uint64, "common": np.uint32, "tokens": np.uint32, "marks": np.uint16}
-    # views of the packs, not copies
-    columns = {c: [np.frombuffer(x.as_buffer(), k) if len(x.as_buffer()) else np.zeros(0, k) for x in table.column(c)] for c, k in kinds.items()}
+_KINDS = {"sets": np.uint64, "common": np.uint32, "tokens": np.uint32, "marks": np.uint16}
+#: Sets whose counts a task adds up before it sends them on.
+_SETS = 1_000_000
+
+
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For packs in the order of their ranges: per set, how many of its shingles another set has too.
+
+    A task looks at one range at a time, and adds up a set's counts over its ranges, so that more ranges mean
+    less memory and not more rows.
+    """
+    held: dict[str, list[np.ndarray]] = {c: [] for c in _KINDS}
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting, now = 0, None
+
+    def added() -> pa.RecordBatch:
+        sig, place = np.unique(np.concatenate([s for s, _ in found]), return_inverse=True)
+        shared = np.zeros(len(sig), np.int64)
+        np.add.at(shared, place, np.concatenate([n for _, n in found]))
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(shared)], names=["sig", "shared"])
+
+    for batch in batches:
+        for i, r in enumerate(batch.column("range").to_pylist()):
+            if r != now and held["sets"]:
+                found.append(_of_range(held))
+                waiting += len(found[-1][0])
+                held = {c: [] for c in _KINDS}
+                if waiting > _SETS:
+                    yield added()
+                    waiting = 0
+            now = r
+            for c, k in _KINDS.items():
+                raw = batch.column(c)[i].as_buffer()
+                # a copy: a view would keep the whole batch
+                held[c].append(np.frombuffer(raw, k).copy() if len(raw) else np.zeros(0, k))
+    if held["sets"]:
+        found.append(_of_range(held))
+    if found:
+        yield added()
+
+
+def _of_range(columns: dict[str, list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of one range's packs that share shingles there, and how many."""
     sets = columns["sets"]
     all_sets, place = np.unique(np.concatenate(sets), return_inverse=True)
     first = np.cumsum([0] + [len(s) for s in sets])
@@ -161,7 +204,7 @@ def _shared_counts(table: pa.Table) -> pa.Table:
     credit += np.bincount(half[shared, 0], minlength=len(all_sets) + 1)[: len(all_sets)]
     # a set sent from several buffers may have been credited for one shingle twice: too many keeps it, never drops it
     at = np.flatnonzero(credit)
-    return pa.table({"sig": all_sets[at].view(np.int64), "shared": credit[at]})
+    return all_sets[at], credit[at]
 
 
 def _tokens(length: int):
@@ -179,6 +222,19 @@ def _tokens(length: int):
     return rows
 
 
+def _every_set(length: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in H.slices(batch.column("text")):
+                tokens, bounds = shingle_sets(texts, length)
+                some = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens.view(np.int64)))
+                sig = pa.array(signatures(tokens, bounds).view(np.int64))
+                yield pa.RecordBatch.from_arrays([sig, pa.array(np.diff(bounds).astype(np.int64)), some], names=["sig", "n", "tokens"])
+
+    return rows
+
+
+_SET = "sig bigint, n bigint, tokens array<bigint>"
 _SPOTS = 1 << 25
 
 
@@ -211,15 +267,23 @@ def near_duplicates(
     """Per document row: ``id, n_shingles, component_id`` (the smallest id that links reach, its own included)."""
     source = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = stored(spark, source.mapInArrow(_describe(length), "id bigint, n bigint, sig bigint"), "set-rows")
-    # a set's shingles lie in many ranges, each with a count of its own: no more of them than memory asks for
-    ranges = min(65_535, max(12, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 // 3))
+    # a range of hashes is what a task holds at a time: as many ranges as the shingles ask for
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    ranges = min(65_535, max(12, total // _RANGE + 1))
     packs = source.select("text").mapInArrow(_packed(length, ranges), "range int, sets binary, common binary, tokens binary, marks binary")
-    counts = packs.groupBy("range").applyInArrow(_shared_counts, "sig bigint, shared bigint").groupBy("sig").agg(F.sum("shared").alias("shared"))
+    # a set's shingles lie in many tasks, each with a count of its own: no more of them than their work asks for
+    tasks = max(12, total // _TASK)
+    counts = packs.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_shared_counts, "sig bigint, shared bigint")
+    counts = counts.groupBy("sig").agg(F.sum("shared").alias("shared"))
     sets = rows.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.min("id").alias("id"))
-    live = sets.join(counts, "sig").where(F.col("shared") * 100 >= F.col("n") * percent).where("id is not null").select("id", "sig", "n")
+    live = sets.join(counts, "sig").where(F.col("shared") * 100 >= F.col("n") * percent).select("id", "sig", "n")
     live = stored(spark, live, "live")
-    texts = _likely(spark, source, live).join(live, "id")
-    held = stored(spark, texts.mapInArrow(_tokens(length), "sig bigint, n bigint, tokens array<bigint>").dropDuplicates(["sig"]), "live-sets")
+    named = live.where("id is not null")
+    texts = _likely(spark, source, named).join(named, "id")
+    found = texts.mapInArrow(_tokens(length), _SET)
+    # sets that only rows without an id hold are found by themselves
+    unnamed = source.where("id is null").mapInArrow(_every_set(length), _SET).join(live.where("id is null").select("sig"), "sig", "left_semi")
+    held = stored(spark, found.unionByName(unnamed).dropDuplicates(["sig"]), "live-sets")
     links = _links(spark, held, percent, star_rounds)
     roots = components(spark, links)
     named = rows.join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
@@ -238,8 +302,9 @@ def _links(spark: SparkSession, held: DataFrame, percent: int, star_rounds: int)
     shared = shared.withColumn("room", room).where("room > 0")
 
     def prefix(k: int):
-        """The shared part of the prefix under the k-th order."""
-        ranked = F.transform("shared", lambda s: F.struct(s["df"].alias("df"), F.xxhash64(s["token"], F.lit(k)).alias("tie"), s["token"].alias("token")))
+        """The shared part of the prefix under the k-th order: by rarity with ties of its own, the last one by hash alone."""
+        rarity = lambda s: s["df"] if k < ORDERS - 1 else F.lit(0).cast("bigint")
+        ranked = F.transform("shared", lambda s: F.struct(rarity(s).alias("df"), F.xxhash64(s["token"], F.lit(k)).alias("tie"), s["token"].alias("token")))
         return F.transform(F.slice(F.sort_array(ranked), F.lit(1), F.col("room")), lambda s: s["token"]).alias(f"p{k}")
 
     prefixes = shared.select("sig", "n", "room", F.size("shared").alias("common"), *[prefix(k) for k in range(ORDERS)])

@@ -2,19 +2,25 @@
 
 Inline elements belong to the block around them; scripts, styles, forms' controls and other elements that hold no
 reading text are left out, comments and declarations too. Tags left open are closed by what follows, as a browser
-would: a new paragraph ends an open one, an end tag ends all that was opened inside. No recursion, so depth is
-no limit.
+would: a new paragraph ends an open one, an end tag ends all that was opened inside. A left-out element that is never
+closed, or closes itself, leaves out nothing but its tag; a script, style or text area without an end tag leaves out
+the rest. No recursion, so depth is no limit; a quote that never closes ends with its tag.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from functools import cache
 from typing import NamedTuple
 
 # fixed values: element kinds of the HTML standard
-SKIPPED = frozenset("head script style noscript template svg math iframe object canvas textarea select button datalist audio video".split())
+SKIPPED = frozenset("head script style noscript template svg math iframe object canvas textarea select button datalist audio video label legend".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: Of these a browser takes all up to the end tag as text that is not shown, to the end of the page if there is none.
+UNSHOWN = frozenset("script style textarea".split())
+#: These may hold elements of their own kind.
+NESTING = frozenset("svg math object head template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -27,7 +33,11 @@ _ENDS = {k: (frozenset(v.split()), frozenset(w.split())) for k, v, w in (
 )}
 _P_SCOPE = BLOCKS - {"p"}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.DOTALL)
+# A quote opens a value only after an equals sign, and only if it closes; nothing is tried twice, so a stray quote costs
+# no more than the tag.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)(?:>|\Z)""", re.DOTALL
+)
 _NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 
 
@@ -42,6 +52,11 @@ class Page(NamedTuple):
     labels: list[str]
 
 
+@cache
+def _tag_of(pattern: str) -> re.Pattern:
+    return re.compile(pattern, re.IGNORECASE)
+
+
 def parse(source: str, label: str | None = None) -> Page:
     """The block tree of a page; node 0 stands for the page. ``label`` names an attribute to hand back per block."""
     parent, tag, names, links, labels = [-1], ["#page"], [""], [0], [""]
@@ -50,6 +65,7 @@ def parse(source: str, label: str | None = None) -> Page:
     block, at, size = 0, 0, len(source)
     in_link = 0
     text: list[str] = []
+    unclosed: set[str] = set()
 
     def flush() -> None:
         if text:
@@ -96,9 +112,16 @@ def parse(source: str, label: str | None = None) -> Page:
         if name in VOID:
             continue
         if name in SKIPPED or name in RAW:
-            if m.group(3).rstrip().endswith("/") and name in ("svg", "math", "canvas"):
+            if m.group(3).rstrip().endswith("/") and name not in UNSHOWN and name != "head":
                 continue
-            closing = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
+            closing = None if name in unclosed else _tag_of(rf"</{name}\s*>").search(source, at)
+            if closing is None:
+                unclosed.add(name)  # nor is any later one
+            if name not in UNSHOWN and name != "head":
+                # never closed, or its kind opens again before: it has no content, the text after it is the page's
+                if closing is None or name not in NESTING and _tag_of(rf"<{name}[\s>]").search(source, at, closing.start()):
+                    text.append(" ")
+                    continue
             if closing is None and name == "head":
                 body = re.compile(r"<body\b", re.IGNORECASE).search(source, at)
                 at = body.start() if body else at

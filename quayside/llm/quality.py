@@ -188,8 +188,18 @@ def score(spark: SparkSession, documents: DataFrame, net: Net | float, id_col: s
 
 def keep_good(spark: SparkSession, documents: DataFrame, net: Net | float, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows whose score is ``least`` or more, as they were."""
-    names = documents.columns
-    held = documents.select(F.struct(*[documents[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("row"), documents[text_col].cast("string").alias("text"))
-    kind = held.schema["row"].dataType.simpleString()
-    scored = held.mapInArrow(_scorer(spark.sparkContext.broadcast(net)), f"row {kind}, score double")
-    return scored.where(F.col("score") >= least).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+    # columns by place, so that any names will do; a text goes to a worker once and comes back where it is kept
+    flat = documents.select(*[documents[c].alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    text, held = f"c{documents.columns.index(text_col)}", spark.sparkContext.broadcast(net)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not isinstance(held.value, float) and batch.num_rows:
+                found = np.concatenate([scores(held.value, t) for t in H.slices(batch.column(text))])
+                batch = batch.filter(pa.array(found >= least))
+            elif isinstance(held.value, float) and held.value < least:
+                batch = batch.slice(0, 0)
+            yield batch
+
+    kept = flat.mapInArrow(rows, flat.schema)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)])

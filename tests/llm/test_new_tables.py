@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.llm import codes, lines, trie
+from quayside.llm import codes, jaccard, lines, markup, quality, trie
 from quayside.llm.register import ORACLES, QUERIES
 from tests.compare import _rows, connect
 from tests.llm.tables import documents, texts
@@ -226,3 +227,60 @@ def test_sketch_finds_most_singletons(spark):
         cell = trie._cells(d.d1.to_numpy().view(np.uint64), d.d2.to_numpy().view(np.uint64), row, cells)
         above &= np.unpackbits(bits[row])[cell] == 1
     assert 500 <= above.sum() <= 500 + 400
+
+
+# malformed pages
+
+
+def shown(source):
+    return " ".join(t for _, t in markup.parse(source).pieces)
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<p>a</p><a href=/x title=thatzzzzzzzzzz's mine>b</a><p>c</p>", "a b c"),
+        ('<p title=aaaaaaaaaaaaaaaaaaaa"x y z>a</p>b', "a b"),
+        ('<p title="a > b" class=\'c>d\'>e</p>', "e"),
+        ('<p title = "never closed>a</p><p>b</p>', "a b"),
+        ("<p>a</p><button>Menu<article><p>b</p></article>", "a Menu b"),
+        ("<button>Menu<article><p>b</p></article><button>more</button><p>c</p>", "Menu b c"),
+        ("<p>a</p><iframe src=x/><p>b</p>", "a b"),
+        ("<noscript><p>a</p>", "a"),
+        ("<p>a</p><svg/><svg><svg><title>t</title></svg>b", "a b"),
+        ("<p>a</p><script>if (a<b) '</p>'", "a"),
+        ("<p>a <label for=q>Mail</label> b</p>", "a b"),
+        ("<BUTTON >x</Button >y", "y"),
+    ],
+)
+def test_malformed_tags(source, text):
+    assert shown(source) == text
+
+
+@pytest.mark.parametrize("piece", ['<a title=x"', "<a title='", '<a b="', "<button>", "<svg>", "<p a=b'c", '<i x="y', "<!--", "<a ="])
+def test_time_of_malformed_pages_is_that_of_their_length(piece):
+    for source in (piece + "x " * 10_000, piece * 10_000, (piece + "> some text </p> ") * 5_000):
+        began = time.monotonic()
+        markup.parse(source)
+        assert time.monotonic() - began < 3
+
+
+# the n-gram join's edges
+
+
+def test_null_ids_link_and_ranges_do_not_matter(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(words), " ".join(["x"] + words[3:]), " ".join(words[3:] + ["y", "z"])
+    df = spark.createDataFrame([(1, a), (None, b), (2, c), (5, "alone here now"), (None, "alone here now")], "doc_id long, text string")
+    for width in (2_000_000, 3):
+        monkeypatch.setattr(jaccard, "_RANGE", width)
+        monkeypatch.setattr(jaccard, "_SETS", 5 if width == 3 else 1_000_000)
+        got = jaccard.near_duplicates(spark, df, length=4, percent=85).collect()
+        # 1 and 2 share 54 of 60 shingles only by way of the text without an id
+        assert sorted((str(r.id), r.component_id) for r in got) == [("1", 1), ("2", 1), ("5", 5), ("None", 1), ("None", 5)]
+
+
+def test_keep_good_keeps_rows_as_they_were(spark):
+    df = spark.createDataFrame([(1, "a", None, 2.0), (2, None, "x", None)], "doc_id long, text string, c0 string, score double")
+    assert quality.keep_good(spark, df, 0.5).collect() == df.collect()
+    assert quality.keep_good(spark, df, 0.1).collect() == [] and quality.keep_good(spark, df, 0.1).schema.names == df.columns
