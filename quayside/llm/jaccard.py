@@ -35,7 +35,7 @@ from quayside.llm.components import components, stored
 _WORD = H.unspaced()
 _TOKEN_BITS = 48
 #: Tokens that a task gathers before it sends them on.
-_BUFFER = 1_000_000
+_BUFFER = 400_000
 ORDERS = 3
 #: Shingles of one range of hashes, about: what a task holds when it looks for those that two sets share.
 _RANGE = 2_000_000
@@ -130,6 +130,7 @@ def _packed(length: int, ranges: int):
                 if held and (size + len(tokens) > _BUFFER or docs + len(bounds) > 65_000):
                     yield from packs(held)
                     held, size, docs = [], 0, 0
+                    pa.default_memory_pool().release_unused()
                 held.append((signatures(tokens, bounds), tokens, H.owner(bounds)))
                 size, docs = size + len(tokens), docs + len(bounds) - 1
         if held:
