@@ -23,6 +23,7 @@ copies of each other; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,20 @@ ORDERS = 3
 _RANGE = 2_000_000
 #: Shingles a task goes through, a range at a time.
 _TASK = 8_000_000
+#: Rows of an Arrow batch: a row is a whole text or a pack of shingles, and a batch is held on both sides.
+_BATCH_ROWS = 256
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Batches of few rows for what is written inside; the session's own setting comes back after it."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, min(_BATCH_ROWS, int(before)) if int(before) > 0 else _BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
 
 
 def shingle_sets(texts: H.Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,6 +282,17 @@ def near_duplicates(
 ) -> DataFrame:
     """Per document row: ``id, n_shingles, component_id`` (the smallest id that links reach, its own included)."""
     source = documents.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    with _small_batches(spark):
+        rows, held = _candidates(spark, source, length, percent)
+    links = _links(spark, held, percent, star_rounds)
+    roots = components(spark, links)
+    named = rows.join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
+    lowest = named.where("n > 0").groupBy("group").agg(F.min("id").alias("lowest"))
+    return named.join(lowest, "group", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("lowest", "id").alias("component_id"))
+
+
+def _candidates(spark: SparkSession, source: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All rows (``id, n, sig``), and once each the sets (``sig, n, tokens``) of which enough is shared to have a partner."""
     rows = stored(spark, source.mapInArrow(_describe(length), "id bigint, n bigint, sig bigint"), "set-rows")
     # a range of hashes is what a task holds at a time: as many ranges as the shingles ask for
     total = rows.agg(F.sum("n")).first()[0] or 0
@@ -284,12 +310,7 @@ def near_duplicates(
     found = texts.mapInArrow(_tokens(length), _SET)
     # sets that only rows without an id hold are found by themselves
     unnamed = source.where("id is null").mapInArrow(_every_set(length), _SET).join(live.where("id is null").select("sig"), "sig", "left_semi")
-    held = stored(spark, found.unionByName(unnamed).dropDuplicates(["sig"]), "live-sets")
-    links = _links(spark, held, percent, star_rounds)
-    roots = components(spark, links)
-    named = rows.join(roots.select(F.col("node").alias("sig"), "root"), "sig", "left").withColumn("group", F.when(F.col("n") > 0, F.coalesce("root", "sig")))
-    lowest = named.where("n > 0").groupBy("group").agg(F.min("id").alias("lowest"))
-    return named.join(lowest, "group", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("lowest", "id").alias("component_id"))
+    return rows, stored(spark, found.unionByName(unnamed).dropDuplicates(["sig"]), "live-sets")
 
 
 def _links(spark: SparkSession, held: DataFrame, percent: int, star_rounds: int) -> DataFrame:
