@@ -92,23 +92,24 @@ def best_types(df: DataFrame) -> dict[str, str]:
     names = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not names:
         return {}
-    row = df.agg(*[F.bit_or(_kind(_bare(name))).alias(f"kinds_{i}") for i, name in enumerate(names)]).first()
-    chosen = {}
-    for i, name in enumerate(names):
-        kinds = row[f"kinds_{i}"] or _TEXT
-        if kinds == _WHOLE:
-            chosen[name] = "bigint"
-        elif kinds | _WHOLE | _NUMBER == _WHOLE | _NUMBER:
-            chosen[name] = "double"
-        else:
-            chosen[name] = "boolean" if kinds == _BOOLEAN else "string"
-    return chosen
+    row = df.agg(*[F.bit_or(value_kind(_bare(name))).alias(f"kinds_{i}") for i, name in enumerate(names)]).first()
+    return {name: type_of_kinds(row[f"kinds_{i}"]) for i, name in enumerate(names)}
+
+
+def type_of_kinds(kinds: int | None) -> str:
+    """The narrowest type for values of these kinds; text where no value is given."""
+    kinds = kinds or _TEXT
+    if kinds == _WHOLE:
+        return "bigint"
+    if kinds | _WHOLE | _NUMBER == _WHOLE | _NUMBER:
+        return "double"
+    return "boolean" if kinds == _BOOLEAN else "string"
 
 
 _WHOLE, _NUMBER, _BOOLEAN, _TEXT = 1, 2, 4, 8
 
 
-def _kind(c: Column) -> Column:
+def value_kind(c: Column) -> Column:
     """The bit of a value's kind; null for a missing one."""
     number = c.try_cast("double")
     whole = (number == F.floor(number)) & to_integer(c).isNotNull()

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quayside.operators import casting
+from quayside.operators import casting, kinds
 from quayside.operators.audit import with_run_audit
 from quayside.queries.register import RUN_ID, RUN_TS, as_text, money, query, table
+from quayside.session import scratch_path
+
 
 def spoiled():
     return F.col("l_orderkey") % 97 == 0
@@ -78,6 +80,28 @@ def infer_types(spark, sf_dir):
     )
 
 
+@query(
+    "infer_types_by_file",
+    """select l_orderkey, l_quantity::bigint l_quantity, case when l_orderkey % 97 = 0 then 'n/d' else l_linenumber::varchar end l_linenumber,
+              l_extendedprice, l_returnflag = 'R' returned, case when l_orderkey % 97 = 0 then 2 else 1 end delivery from lineitem""",
+)
+def infer_types_by_file(spark, sf_dir):
+    """Line items as text in two deliveries; the second look opens the second one's files only, and widens one column."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("l_orderkey"),
+        money("l_quantity").alias("l_quantity"),
+        F.when(spoiled(), "n/d").otherwise(F.col("l_linenumber").cast("string")).alias("l_linenumber"),
+        money("l_extendedprice").alias("l_extendedprice"),
+        (F.col("l_returnflag") == "R").cast("string").alias("returned"),
+    )
+    folder, book = scratch_path(spark, "deliveries"), scratch_path(spark, "kinds")
+    odd = F.col("l_linenumber") == "n/d"
+    lines.where(~odd).write.parquet(f"{folder}/delivery=1")
+    kinds.folder_types(spark, folder, book)
+    lines.where(odd).write.parquet(f"{folder}/delivery=2")
+    return kinds.infer_folder(spark, folder, book)
+
+
 def landed_lines(spark, sf_dir):
     return with_run_audit(as_text(table(spark, sf_dir, "lineitem")), RUN_TS)
 

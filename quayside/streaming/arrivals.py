@@ -11,7 +11,7 @@ import hashlib
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import commits, storage
@@ -19,22 +19,13 @@ from quayside.operators.casting import cast_to_schema
 from quayside.plans.publish import spread_by
 from quayside.plans.runs import observed
 from quayside.sources.delimited import pipe_files
+from quayside.sources.listing import LOOKS, listing, looks, plain_column, plain_path
 
 RUN, ARRIVAL = "run", "arrival"
-_LEDGER = "path string, modified timestamp_ntz, length long"
-
-
 #: Gzip files at any depth.
 _FILES = {"pathGlobFilter": "*.gz", "recursiveFileLookup": True}
 
 
-def _looks(files: DataFrame) -> DataFrame:
-    """``path, modified, length`` of a scan of files; their content is not read."""
-    # a moment, whatever the session's zone is
-    modified = F.timestamp_micros(F.unix_micros("modificationTime")).cast("timestamp_ntz")
-    return files.select("path", modified.alias("modified"), "length")
-
-
 def arriving_files(
     spark: SparkSession, path: str, max_files: int | None = None, archive: str | None = None
 ) -> DataFrame:
@@ -48,17 +39,7 @@ def arriving_files(
     if archive:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
     schema = "path string, modificationTime timestamp, length long, content binary"
-    return _looks(spark.readStream.format("binaryFile").schema(schema).options(**options).load(path))
-
-
-def _plain(path: str) -> str:
-    """One spelling of a path, whether it came from a listing or from a row."""
-    return re.sub(r"^(\w+):/+", r"\1:/", path)
-
-
-def _plain_column(file: Column) -> Column:
-    decoded = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, r"^(\w+):/+", "$1:/")
+    return looks(spark.readStream.format("binaryFile").schema(schema).options(**options).load(path))
 
 
 def _run_of(path: str) -> str:
@@ -71,16 +52,11 @@ def _arrival(path: str) -> str:
     return hashlib.sha256(path.encode()).hexdigest()[:20]
 
 
-def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``path, modified, length`` of the files that are there."""
-    return _looks(spark.read.format("binaryFile").options(**_FILES).load(path))
-
-
 def ledger(spark: SparkSession, path: str) -> DataFrame:
     """What each path looked like when it was last read."""
     if not storage.child_folders(spark, path):
-        return spark.createDataFrame([], _LEDGER)
-    notes = spark.read.schema(f"{_LEDGER}, entry long").parquet(path)
+        return spark.createDataFrame([], LOOKS)
+    notes = spark.read.schema(f"{LOOKS}, entry long").parquet(path)
     last = notes.groupBy("path").agg(F.max_by(F.struct("modified", "length"), "entry").alias("l"))
     return last.select("path", "l.modified", "l.length")
 
@@ -90,7 +66,7 @@ def _publish(
 ) -> None:
     """Type the rows of these files and put them in the place of the rows the same files gave before."""
     seen = Observation()
-    own = _plain_column(F.col("file"))
+    own = plain_column(F.col("file"))
     rows = pipe_files(spark, files, columns).select(
         *columns,
         F.regexp_extract(own, r"/run=([^/]+)/", 1).alias(RUN),
@@ -99,7 +75,7 @@ def _publish(
     typed = cast_to_schema(rows, {**schema, RUN: "STRING", ARRIVAL: "STRING"}, seen)
     # a file may have lost all its rows: its partition goes all the same
     escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    places = [f"{RUN}={escaped(_run_of(f)) or '__HIVE_DEFAULT_PARTITION__'}/{ARRIVAL}={_arrival(f)}" for f in map(_plain, files)]
+    places = [f"{RUN}={escaped(_run_of(f)) or '__HIVE_DEFAULT_PARTITION__'}/{ARRIVAL}={_arrival(f)}" for f in map(plain_path, files)]
     commits.write(spread_by(typed, RUN, ARRIVAL), target, [RUN, ARRIVAL], partitions=places)
     if rejects:
         found = [(name, number) for name, number in observed(seen).items() if name not in (RUN, ARRIVAL)]
@@ -132,10 +108,10 @@ def stream_ingest(
         _publish(spark, [f["path"] for f in files], target, columns, schema, f"{rejects.rstrip('/')}/batch={batch}" if rejects else None)
         # what they looked like before they were read: what has changed since differs from it
         entry = len(storage.child_folders(spark, book)) + 1
-        spark.createDataFrame(files, _LEDGER).coalesce(1).write.mode("overwrite").parquet(f"{book}/entry={entry}")
+        spark.createDataFrame(files, LOOKS).coalesce(1).write.mode("overwrite").parquet(f"{book}/entry={entry}")
 
     before = ledger(spark, book).select("path", F.struct("modified", "length").alias("was"))
-    changed = listing(spark, source).join(before, "path").where(F.struct("modified", "length") != F.col("was")).drop("was")
+    changed = listing(spark, source, **_FILES).join(before, "path").where(F.struct("modified", "length") != F.col("was")).drop("was")
     if again := changed.orderBy("path").collect():  # one row for each file that is to be read
         # files that came again count down from -1, as batches of the stream count up
         ingest(again, str(-1 - sum(n.startswith("batch=-") for n in storage.child_folders(spark, rejects)) if rejects else -1))
