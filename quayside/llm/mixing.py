@@ -13,8 +13,9 @@ a piece are rows numbered. The result of all that is one cut per leaf, so the do
 a table of leaves and never shuffled by leaf.
 
 Defined results: null level values form a node of their own; null and empty texts have no tokens and come with
-every epoch their leaf takes (in the prefix if their place is); rows equal in id are in or out together; a leaf of
-weight 0 takes nothing; an empty table gives no rows; extra columns are kept, level names may not be added columns'.
+every epoch their leaf takes (in the prefix if their place is), ``max_epochs`` at most; rows equal in id are in or out together; a leaf of
+weight 0 takes nothing; an empty table gives no rows; extra columns are kept under any names but those of the two added
+columns, which take their place; names of two leading underscores are the operator's own.
 """
 
 from __future__ import annotations
@@ -78,25 +79,30 @@ def mix(
     text_col: str = "text",
     piece_rows: int = 20_000,
     small_tree: int = 20_000,
+    epoch_col: str = "mix_epoch",
+    tokens_col: str = "mix_tokens",
 ) -> DataFrame:
     """The chosen rows of ``documents``, once per epoch, with ``mix_epoch`` (from 1) and ``mix_tokens`` added.
 
+    Columns of these names that the documents have already give way to the added ones; ``epoch_col`` and ``tokens_col``
+    name them otherwise. All other columns are kept, whatever they are called.
+
     ``levels`` names the tree's levels and how they are read from a row, ``weights`` gives whole-number weights
     by level and value, ``total`` the budget as an expression of ``held``, the tokens of all documents. A tree of up
     to ``small_tree`` leaves is broadcast to the documents, a larger one is joined by its leaves.
     """
     names = [f"__l{i}" for i in range(len(levels))]
     keyed = documents.withColumns(
-        {n: F.coalesce(c.cast("string"), F.lit(_NULL)) for n, c in zip(names, levels.values())} | {"mix_tokens": tokens(F.col(text_col))}
+        {n: F.coalesce(c.cast("string"), F.lit(_NULL)) for n, c in zip(names, levels.values())} | {"__mix_tokens": tokens(F.col(text_col))}
     )
     by_name = {n: weights.get(k, {}) for n, k in zip(names, levels)}
     # the texts are read twice in all: here to count tokens, and when the chosen rows are taken
-    slim = stored(spark, keyed.select(*names, F.col(id_col).cast("string").alias("id"), "mix_tokens"), "mix-rows")
-    leaves = slim.groupBy(*names).agg(F.sum("mix_tokens").alias("held"), F.count(F.lit(1)).alias("rows"))
+    slim = stored(spark, keyed.select(*names, F.col(id_col).cast("string").alias("id"), "__mix_tokens"), "mix-rows")
+    leaves = slim.groupBy(*names).agg(F.sum("__mix_tokens").alias("held"), F.count(F.lit(1)).alias("rows"))
     plan = (
         budgets(leaves, names, by_name, total, max_epochs)
-        .withColumn("whole", F.when(F.col("held") > 0, F.floor(F.col("budget") / F.col("held"))).otherwise(F.lit(0)).cast("int"))
-        .withColumn("left", F.col("budget") - F.col("whole") * F.col("held"))
+        .withColumn("__whole", F.when(F.col("held") > 0, F.floor(F.col("budget") / F.col("held"))).otherwise(F.lit(0)).cast("int"))
+        .withColumn("left", F.col("budget") - F.col("__whole") * F.col("held"))
         .withColumn("pieces", F.ceil(F.col("rows") / piece_rows))
     )
     plan = stored(spark, plan, "mix-plan")
@@ -104,30 +110,32 @@ def mix(
 
     def place(row_id: Column) -> Column:
         """Seeded place of a document in the epoch that its leaf takes in part."""
-        return F.md5(F.concat_ws("|", F.lit(seed), F.col("whole") + 1, F.coalesce(row_id.cast("string"), F.lit(_NULL))))
+        return F.md5(F.concat_ws("|", F.lit(seed), F.col("__whole") + 1, F.coalesce(row_id.cast("string"), F.lit(_NULL))))
 
     def piece(at: Column) -> Column:
         return F.floor(F.conv(F.substring(at, 1, 8), 16, 10).cast("bigint") * F.col("pieces") / F.lit(1 << 32))
 
-    rows = slim.join(spread(plan), names).select(*names, "left", "mix_tokens", place(F.col("id")).alias("place"), "pieces")
+    rows = slim.join(spread(plan), names).select(*names, "left", "__mix_tokens", place(F.col("id")).alias("place"), "pieces")
     rows = rows.withColumn("piece", piece(F.col("place")))
     per_leaf = Window.partitionBy(*names).orderBy("piece")
-    sums = rows.groupBy(*names, "piece").agg(F.sum("mix_tokens").alias("own"))
+    sums = rows.groupBy(*names, "piece").agg(F.sum("__mix_tokens").alias("own"))
     starts = sums.select(*names, "piece", (F.sum("own").over(per_leaf) - F.col("own")).alias("before"))
     inside = Window.partitionBy(*names, "piece").orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
         rows.join(starts, [*names, "piece"])
-        .withColumn("reached", F.col("before") + F.sum("mix_tokens").over(inside))
+        .withColumn("reached", F.col("before") + F.sum("__mix_tokens").over(inside))
         .where(F.col("reached") <= F.col("left"))
         .groupBy(*names)
-        .agg(F.max("place").alias("cut"))
+        .agg(F.max("place").alias("__cut"))
     )
-    chosen = stored(spark, plan.join(cuts, names, "left").select(*names, "whole", "cut"), "mix-cuts")
+    chosen = stored(spark, plan.join(cuts, names, "left").select(*names, "__whole", "__cut"), "mix-cuts")
     taken = keyed.join(spread(chosen), names)
-    copies = F.col("whole") + F.when(place(F.col(id_col)) <= F.col("cut"), 1).otherwise(0)
+    copies = F.col("__whole") + F.when(place(F.col(id_col)) <= F.col("__cut"), 1).otherwise(0)
+    copies = F.least(copies, F.lit(max_epochs))  # a row without tokens fits into a budget of nothing
+    own = [documents[c] for c in documents.columns if c.lower() not in (epoch_col.lower(), tokens_col.lower())]
     return (
         taken.withColumn("__copies", copies)
         .where("__copies > 0")
-        .withColumn("mix_epoch", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*[documents[c] for c in documents.columns], "mix_epoch", "mix_tokens")
+        .withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        .select(*own, F.col("__epoch").alias(epoch_col), F.col("__mix_tokens").alias(tokens_col))
     )

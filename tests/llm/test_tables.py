@@ -114,6 +114,23 @@ def test_mixing_takes_a_prefix_per_epoch(spark, small):
         assert budget[key] - have <= max(tokens[i] for i in own)
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    plain = documents(spark, ["a b c", "d", None, "e f"])
+    clashing = ["whole", "CUT", "left", "pieces", "budget", "held", "piece", "place", "reached", "before", "rows", "limit", "mix_epoch", "Mix_Tokens"]
+    df = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in clashing})
+    levels, total = {"source": F.col("source")}, F.col("held") * 2
+    kept = [c for c in df.columns if c not in ("mix_epoch", "Mix_Tokens")]
+    got = mixing.mix(spark, df, levels, {}, total, max_epochs=2)
+    assert got.columns == [*kept, "mix_epoch", "mix_tokens"]
+    assert sorted((r.doc_id, r.whole, r.CUT, r.mix_epoch, r.mix_tokens) for r in got.collect()) == [
+        (i, f"whole{i}", f"CUT{i}", e, n) for i, n in enumerate((3, 1, 0, 2)) for e in (1, 2)
+    ]
+    named = mixing.mix(spark, df, levels, {}, total, max_epochs=2, epoch_col="e", tokens_col="t")
+    assert named.columns == [*df.columns, "e", "t"] and {r.Mix_Tokens for r in named.collect()} == {f"Mix_Tokens{i}" for i in range(4)}
+    staged = corpus_pipeline.mixing_stage(spark, df, "")
+    assert staged.columns == df.columns and all(r.mix_epoch == f"mix_epoch{r.doc_id}" for r in staged.collect())
+
+
 def test_mixing_of_nothing(spark):
     got = mixing.mix(spark, documents(spark, []), {"source": F.col("source")}, {}, F.col("held"))
     assert got.collect() == []
