@@ -28,7 +28,10 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Nine tenths of the tokens at most, by the weights of domains and languages; no document comes twice."""
-    mixed = mixing.mix(spark, docs, queries.levels(), queries.WEIGHTS, F.floor(F.col("held") * 9 / 10), max_epochs=1, seed=17)
+    total = F.floor(F.col("held") * 9 / 10)
+    # names of their own for the added columns, so that no column of the documents gives way to them
+    added = {"epoch_col": "__epoch_taken", "tokens_col": "__tokens_taken"}
+    mixed = mixing.mix(spark, docs, queries.levels(), queries.WEIGHTS, total, max_epochs=1, seed=17, **added)
     return mixed.select(*[mixed[c] for c in docs.columns])
 
 
