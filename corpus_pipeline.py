@@ -49,7 +49,7 @@ STAGES = [
     ("sharding", sharding_stage),
 ]
 
-#: A trained network stands first, which SQL cannot express; the tests compare each stage with a brute-force version.
+#: A trained network stands first, which SQL cannot express; the tests compare the run with its stages, and operators with brute force.
 ORACLE_SQL = None
 
 
