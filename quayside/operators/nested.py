@@ -140,10 +140,12 @@ def raw_fallback(df: DataFrame, element: str, schema: str) -> DataFrame:
     """
     text = F.col(element)
     is_record = F.ltrim(text).startswith("{")
-    record = F.when(is_record, F.from_json(text, schema))
-    # the columns written as JSON again, against the text; both through a variant, which orders the fields
-    again = F.to_json(F.try_parse_json(F.to_json(record)))
-    raw = F.when(~is_record | ~again.eqNullSafe(F.to_json(F.try_parse_json(text))), text)
-    opened = df.withColumns({"_record": record, "_raw": raw}).drop(element)
+    # a generator parses once: through a projection each condition on a field would parse the text again
+    parsed = df.select("*", F.explode_outer(F.array(F.when(is_record, F.from_json(text, schema)))).alias("_record"))
+    # the columns written as JSON again, against the text; unless equal as they are, both through a variant, which orders the fields
+    again = F.to_json("_record")
+    whole = F.to_json(F.try_parse_json(again)).eqNullSafe(F.to_json(F.try_parse_json(text)))
+    raw = F.when(again == text, F.lit(None)).when(~is_record | ~whole, text)
+    opened = parsed.withColumn("_raw", raw).drop(element)
     keep = [c for c in opened.columns if c not in ("_record", "_raw")]
     return opened.select(*keep, "_record.*", "_raw")

@@ -217,7 +217,9 @@ def land_survey(
     for entity in documents:
         records = opened(entity)
         if entity in facts:
-            recent = lookback_window(records, updated, run_date)
+            # the moment from a generator, so that the bounds of the window do not parse it anew
+            moment = records.select("*", F.explode_outer(F.array(F.col(f"`{updated}`"))).alias("_moment"))
+            recent = lookback_window(moment, "_moment", run_date).drop("_moment")
             keyed = recent.withColumn(cycle_key, F.col(facts[entity]).cast("string"))
             records = facts_for_keys(keyed, cycles, cycle_key)
         jobs.append((entity, entity, lambda e=entity, r=records: land_records(r, f"{root.rstrip('/')}/{e}", run_ts)))

@@ -86,10 +86,13 @@ def scan_envelope(documents: DataFrame, body: str = "body", keep: Sequence[str]
 
     A null or missing payload gives no rows; a payload that is no array fails the query.
     """
-    payload = F.get_json_object(F.col(body), "$.payload")
+    # taken from each document once: Spark would copy it into every place that names it, and into filters of its own
+    held = documents.select(*keep, F.get_json_object(F.col(body), "$.payload").alias("_payload"))
+    payload = F.col("_payload")
     wrong = F.raise_error(F.concat(F.lit("payload is no list: "), payload)).cast("string")
     checked = F.when(payload.isNull() | F.startswith(F.ltrim(payload), F.lit("[")), payload).otherwise(wrong)
-    return documents.select(*keep, F.explode(F.from_json(checked, "array<string>")).alias("element"))
+    found = held.select(*keep, F.posexplode_outer(F.from_json(checked, "array<string>")).alias("_place", "element"))
+    return found.where("_place is not null").drop("_place")
 
 
 PAGE_HEAD = "data struct<total: bigint, limit: bigint>"

@@ -286,3 +286,19 @@ def test_header_below_must_be_one(spark, tmp_path):
     (tmp_path / "c.csv").write_text('t\n"a,\n x",b\n"1\n2",3\n')
     assert delimited.scan_delimited(spark, str(tmp_path / "c.csv"), header=1, multi_line=True).columns == ["a,\n x", "b"]
     assert rows(delimited.scan_delimited(spark, str(tmp_path / "c.csv"), header=1, multi_line=True)) == [("1\n2", "3")]
+
+
+def test_json_of_an_envelope_is_parsed_once(spark):
+    """Conditions on the fields of a record, and on the elements of a payload, must not parse the text again."""
+    from quayside.operators.nested import raw_fallback
+    from quayside.sources.documents import scan_envelope
+
+    rows = [('{"payload": [{"id":1,"at":"b"}, {"at": "c", "id": 2}, {"id":"x"}, "gone", null]}',), ('{"payload": []}',), ("{}",), (None,)]
+    found = raw_fallback(scan_envelope(spark.createDataFrame(rows, "body string")), "element", "id bigint, at string")
+    kept = found.where("id > 0 and id < 9 and at > 'a'")
+    assert kept.count() == 2 and found.count() == 5
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    # one for the list, one for the record
+    assert plan.count("get_json_object") <= 1 and plan.count("from_json") == 2
+    raw = [r["_raw"] for r in found.collect()]
+    assert raw.count(None) == 3 and set(raw) == {None, '{"id":"x"}', "gone"}
