@@ -232,3 +232,25 @@ def test_passage_whose_words_stand_in_other_texts_too(spark):
         want.append((4 * i + 2, 30, 90, 4 * i + 3, 30, 90))
     found = spans(chains.passages(spark, documents(spark, rows)).collect())
     assert [x for x in want if not within(found, *x)] == []
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_passage_of_words_that_many_texts_hold(spark, block):
+    """All runs of up to 32 words of a passage of two texts stand in more than 64 other texts, which hold no passage themselves."""
+    p = words_of("p", 60)
+    rows = [" ".join(words_of(f"a{i}x", 40) + own + words_of(f"b{i}x", 40)) for i in range(70) for own in (p[:49], p[11:])]
+    rows += [" ".join(words_of(f"{x}x", 30) + p + words_of(f"{x}y", 30)) for x in "cd"]
+    found = spans(chains.passages(spark, documents(spark, rows), block=block).collect())
+    assert within(found, 140, 30, 90, 141, 30, 90)
+
+
+def test_every_tie_comes_once(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(s, h, [h + s], rng.random() < 0.5) for s in range(5) for h in rng.sample(range(-40, 40), 8 * s + 2)]
+    sizes = {s: sum(r[0] == s for r in rows) for s in range(5)}
+    marked = spark.createDataFrame([(s, h, at, sizes[s], o) for s, h, at, o in rows], "seed bigint, h bigint, at array<int>, texts bigint, open boolean")
+    want = sorted((h, g, x[0], y[0]) for s, h, x, o in rows for t, g, y, q in rows if s == t and h > g and (o or q))
+    for block in (3, 1000):
+        assert sorted((r.h, r.other, r.xs[0], r.ys[0]) for r in chains._all_ties(marked, block).collect()) == want
