@@ -254,3 +254,33 @@ def test_every_tie_comes_once(spark):
     want = sorted((h, g, x[0], y[0]) for s, h, x, o in rows for t, g, y, q in rows if s == t and h > g and (o or q))
     for block in (3, 1000):
         assert sorted((r.h, r.other, r.xs[0], r.ys[0]) for r in chains._all_ties(marked, block).collect()) == want
+
+
+def test_a_line_of_many_texts_ties_no_two_of_them(spark, monkeypatch):
+    """A line that stands in many texts leads to no pair that shares nothing else; two texts share it in an edited passage."""
+    stored, counts = chains.stored, []
+
+    def counted(spark, df, label):
+        table = stored(spark, df, label)
+        if label == "chained":
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(chains, "stored", counted)
+    line = words_of("line", 13)
+    rows = [" ".join(words_of(f"a{i}x", 60) + line + words_of(f"b{i}x", 5 * (i % 9))) for i in range(120)]
+    p = words_of("p", 25) + line + words_of("q", 22)
+    edited = [f"r{i}" if i % 5 == 2 and not 25 <= i < 38 else w for i, w in enumerate(p)]
+    rows += [" ".join(words_of(f"c{x}y", 30) + own + words_of(f"d{x}y", 30)) for x, own in enumerate((p, edited))]
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    assert within(found, 120, 30, 90, 121, 30, 90)
+    assert sum(counts) < 3 * len(rows)
+
+
+def test_common_runs_over_and_over_lead_to_all_partners(spark):
+    """Two texts share a passage of runs that 40 others have, each in a passage too short; levels of common runs go up until it is found."""
+    p = [w for i in range(4) for w in [f"w{i}"] * 15]
+    rows = [" ".join(words_of(f"a{i}x", 40) + p[15 * (i % 4) : 15 * (i % 4) + 15] + words_of(f"b{i}x", 40)) for i in range(160)]
+    rows += [" ".join(words_of(f"{x}x", 30) + p + words_of(f"{x}y", 30)) for x in "cd"]
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    assert within(found, 160, 30, 90, 161, 30, 90)
