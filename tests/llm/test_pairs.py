@@ -244,6 +244,42 @@ def test_passage_of_words_that_many_texts_hold(spark, block):
     assert within(found, 140, 30, 90, 141, 30, 90)
 
 
+def test_passage_whose_words_lie_in_other_passages_too(spark):
+    """Each half of a passage of two texts lies in passages that these have with four others, which share none: the two are compared."""
+    rows, want = [], []
+    for i in range(24):
+        p = words_of(f"p{i}x", 60)
+        b, c = ([words_of(f"{x}{i}y", 30), p, words_of(f"{x}{i}z", 30)] for x in "bc")
+        rows += [" ".join(words_of(f"{x}{i}v", 20) + sum(own, []) + words_of(f"{x}{i}w", 20)) for x, own in (("b", b), ("c", c))]
+        for x, own in (("d", b), ("e", c)):
+            rows += [" ".join(words_of(f"{x}{i}s", 20) + own[0] + p[:30]), " ".join(p[30:] + own[2] + words_of(f"{x}{i}t", 20))]
+        want.append((6 * i, 50, 110, 6 * i + 1, 50, 110))
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    # passages of more than two texts may be told by a third one that has both
+    assert [x for x in want if not within(found, *x)] == []
+
+
+def test_copies_with_edits_are_told_by_one_of_them(spark):
+    """Of many copies of one text, edited here and there, as many passages as there are texts lead from one to all others, not all pairs."""
+    import random
+
+    rng = random.Random(8)
+    p = words_of("p", 150)
+    rows = [" ".join(f"r{i}x{j}" if rng.random() < 0.04 else w for j, w in enumerate(p)) for i in range(60)]
+    found = spans(chains.passages(spark, documents(spark, rows)).collect())
+    near = {i: set() for i in range(60)}
+    for a, *_, b, _, _ in found:
+        near[a].add(b)
+        near[b].add(a)
+    seen, todo = set(), [0]
+    while todo:
+        i = todo.pop()
+        if i not in seen:
+            seen.add(i)
+            todo += near[i]
+    assert seen == set(range(60)) and len(found) < 6 * 60
+
+
 def test_every_tie_comes_once(spark):
     import random
 
